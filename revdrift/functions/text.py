@@ -55,18 +55,32 @@ def encode_tokens(tokens) -> Column:
     return F.transform(_col(tokens), enc)
 
 
+def let(value, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    Catalyst may inline a projected column into a higher-order function's
+    lambda; an array referenced per window would then be rebuilt for every
+    window (quadratic per document).  Binding it through a one-element
+    ``transform`` keeps it a single evaluation.
+    """
+    return F.get(F.transform(F.array(_col(value)), body), 0)
+
+
 def shingle_hashes(encoded, w) -> Column:
     """Unsorted MD5 digests of every window of ``w`` encoded tokens."""
-    enc = _col(encoded)
     w = w if isinstance(w, Column) else F.lit(int(w))
-    n = F.size(enc)
-    # sequence(1, 0) counts down, so clamp the bound and guard with when().
-    starts = F.sequence(F.lit(1), F.greatest(n - w + 1, F.lit(1)))
-    digests = F.transform(
-        starts,
-        lambda i: F.md5(F.array_join(F.slice(enc, i, w), "").cast("binary")),
-    )
-    return F.when(n >= w, digests).otherwise(F.array().cast("array<string>"))
+
+    def windows(enc: Column) -> Column:
+        n = F.size(enc)
+        # sequence(1, 0) counts down, so clamp the bound and guard with when().
+        starts = F.sequence(F.lit(1), F.greatest(n - w + 1, F.lit(1)))
+        digests = F.transform(
+            starts,
+            lambda i: F.md5(F.array_join(F.slice(enc, i, w), "").cast("binary")),
+        )
+        return F.when(n >= w, digests).otherwise(F.array().cast("array<string>"))
+
+    return let(encoded, windows)
 
 
 def shingles(text, w) -> Column:

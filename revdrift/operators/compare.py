@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.similarity import intersection_size, jaccard_from_sizes, union_size
 from ..functions.text import sketch as _sketch
+from ..session import work_partitions
 from .shingle import lambda_grid_column, shingle
 
 STEP = 3
@@ -72,8 +73,10 @@ def compare_texts(versions: DataFrame, ws: Sequence[int], lambdas: Sequence, ste
     (page, w) then reuses that partitioning.
     """
     needed = versions.filter(needed_versions("version", step, max_back)).select(page, "version", text_col)
-    needed = needed.repartition(partitions, page) if partitions else needed.repartition(page)
-    sh = shingle(needed, ws, keys=(page, "version"), text_col=text_col)
+    if partitions is None:
+        partitions = work_partitions(versions.sparkSession)
+    sh = shingle(needed, ws, keys=(page, "version"), text_col=text_col,
+                 partition_by=(page,), partitions=partitions)
     return jaccard_to_baseline(sh, lambdas, step, max_back, page)
 
 

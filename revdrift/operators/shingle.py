@@ -58,10 +58,20 @@ def tokenize_docs(docs: DataFrame, keys: Sequence[str], text_col: str = "text")
 
 
 def shingle(docs: DataFrame, ws: Iterable[int], keys: Sequence[str] = ("page", "version"),
-            text_col: str = "text") -> DataFrame:
-    """keys + w, n_tokens, shingles (sorted MD5 multiset, duplicates kept)."""
+            text_col: str = "text", partition_by: Sequence[str] | None = None,
+            partitions: int | None = None) -> DataFrame:
+    """keys + w, n_tokens, shingles (sorted MD5 multiset, duplicates kept).
+
+    Narrow by default (parallelism comes from the input splits).  With
+    ``partition_by`` the *texts* are hash-partitioned first (``partitions``
+    explicit, so AQE does not fold the hash-heavy stage into a few tasks);
+    partitioning by page also co-locates all versions for a later self-join.
+    """
     ws = check_windows(ws)
     keys = list(keys)
+    if partition_by:
+        cols = [F.col(c) for c in partition_by]
+        docs = docs.repartition(partitions, *cols) if partitions else docs.repartition(*cols)
     encoded = docs.select(
         *keys,
         tokenize(text_col).alias("_tokens"),

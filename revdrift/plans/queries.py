@@ -15,6 +15,7 @@ from ..functions.labels import lambda_display, lambda_k
 from ..functions.text import encode_tokens, shingle_hashes, tokenize
 from ..operators import compare, report, revisions, runtime
 from ..operators.shingle import parse_lambdas, shingle, sketch
+from ..session import work_partitions
 from . import fixtures as fx
 from .oracle import WS, grid_values, jaccard_select, shingle_ctes, tokens_expr
 
@@ -40,13 +41,15 @@ def q_tokenize_docs(spark, sf):
 
 
 def q_shingle_hash_w2(spark, sf):
-    d = _docs(spark, sf).select("doc_id", encode_tokens(tokenize("text")).alias("e"))
+    d = _docs(spark, sf).repartition(work_partitions(spark), "doc_id").select(
+        "doc_id", encode_tokens(tokenize("text")).alias("e"))
     return d.select("doc_id", F.posexplode(shingle_hashes("e", 2)).alias("pos", "shingle")) \
             .select("doc_id", (F.col("pos") + 1).alias("pos"), "shingle")
 
 
 def q_shingles_sorted(spark, sf):
-    sh = shingle(_docs(spark, sf), WS_GRID, keys=("doc_id",))
+    sh = shingle(_docs(spark, sf), WS_GRID, keys=("doc_id",), partition_by=("doc_id",),
+                 partitions=work_partitions(spark))
     return sh.select("doc_id", "w", "n_tokens",
                      F.size("shingles").alias("n_shingles"),
                      F.size(F.array_distinct("shingles")).alias("n_distinct"),
@@ -60,7 +63,8 @@ def _chain(spark, sf):
 
 
 def q_sketch_sizes(spark, sf):
-    sk = sketch(shingle(_chain(spark, sf), WS_GRID), LAMBDAS)
+    sk = sketch(shingle(_chain(spark, sf), WS_GRID, partition_by=("page",),
+                        partitions=work_partitions(spark)), LAMBDAS)
     return sk.select("page", "version", "w", "lambda",
                      F.size("sketch").alias("n_sketch"),
                      F.size(F.array_distinct("sketch")).alias("n_distinct"),
