@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ..functions.similarity import intersection_size, jaccard_from_sizes, union_size
 from ..functions.text import sketch as _sketch
 from ..session import work_partitions
-from .shingle import lambda_grid_column, shingle
+from .shingle import lambda_grid_column, shingle_sets
 
 STEP = 3
 MAX_BACK = 147
@@ -51,14 +51,7 @@ def jaccard_to_baseline(shingles: DataFrame, lambdas: Sequence, step: int = STEP
     tgt = shingles.filter(is_target("version", step, max_back)).select(
         page, "version", "w", F.col("shingles").alias("_cur"))
     pairs = tgt.join(base, [page, "w"], "inner")
-    fanned = pairs.select(page, "w", "version", "_base", "_cur",
-                          F.inline(lambda_grid_column(lambdas)))
-    sized = fanned.select(
-        page, "w", "lambda", "k", "version",
-        intersection_size(_sketch("_base", F.col("k")), _sketch("_cur", F.col("k"))).alias("intersection"),
-        union_size(_sketch("_base", F.col("k")), _sketch("_cur", F.col("k"))).alias("union_size"),
-    )
-    return sized.withColumn("jaccard", jaccard_from_sizes("intersection", "union_size"))
+    return _jaccard_grid(pairs, lambdas, page)
 
 
 def compare_texts(versions: DataFrame, ws: Sequence[int], lambdas: Sequence, step: int = STEP,
@@ -67,17 +60,34 @@ def compare_texts(versions: DataFrame, ws: Sequence[int], lambdas: Sequence, ste
     """From texts [page, version, text] straight to similarities.
 
     Only baseline and target versions are read (the filter reaches the scan or
-    the version generator); the *texts* are hash-partitioned by page once,
-    which is cheaper than shuffling the shingle arrays (each shingle costs 32
-    bytes, several times the bytes of its token), and the self-join on
-    (page, w) then reuses that partitioning.
+    the version generator).  The *texts* are hash-partitioned by page once --
+    cheaper than moving shingle arrays, which are several times the size of
+    their text -- and every window size stays inside the row of its text, so
+    the baseline/target join is on ``page`` alone and reuses that partitioning
+    (no second exchange).  The (w, lambda) fan-out happens after the join.
     """
     needed = versions.filter(needed_versions("version", step, max_back)).select(page, "version", text_col)
     if partitions is None:
         partitions = work_partitions(versions.sparkSession)
-    sh = shingle(needed, ws, keys=(page, "version"), text_col=text_col,
-                 partition_by=(page,), partitions=partitions)
-    return jaccard_to_baseline(sh, lambdas, step, max_back, page)
+    needed = needed.repartition(partitions, F.col(page))
+    sets = shingle_sets(needed, ws, keys=(page, "version"), text_col=text_col)
+    base = sets.filter(F.col("version") == 0).select(page, F.col("sets").alias("_base"))
+    tgt = sets.filter(is_target("version", step, max_back)).select(page, "version", F.col("sets").alias("_cur"))
+    pairs = tgt.join(base, page, "inner")
+    per_w = pairs.select(page, "version", F.inline(F.zip_with(
+        "_base", "_cur", lambda b, c: F.struct(b["w"].alias("w"), b["shingles"].alias("_base"),
+                                               c["shingles"].alias("_cur")))))
+    return _jaccard_grid(per_w, lambdas, page)
+
+
+def _jaccard_grid(pairs: DataFrame, lambdas: Sequence, page: str) -> DataFrame:
+    fanned = pairs.select(page, "w", "version", "_base", "_cur", F.inline(lambda_grid_column(lambdas)))
+    sized = fanned.select(
+        page, "w", "lambda", "k", "version",
+        intersection_size(_sketch("_base", F.col("k")), _sketch("_cur", F.col("k"))).alias("intersection"),
+        union_size(_sketch("_base", F.col("k")), _sketch("_cur", F.col("k"))).alias("union_size"),
+    )
+    return sized.withColumn("jaccard", jaccard_from_sizes("intersection", "union_size"))
 
 
 def skipped_pages(catalog: DataFrame, step: int = STEP, max_back: int = MAX_BACK,

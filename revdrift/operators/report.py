@@ -58,16 +58,13 @@ def lambda_mae(sim: DataFrame, lambdas: Sequence = ("8", "16", "32", "64"),
             F.struct(F.lit(lab).alias("lambda"),
                      F.abs(F.col(f"_l{lab}") - F.col("_inf")).alias("err"))
             for lab in finite])),
-    ).filter(F.col("err").isNotNull())
+    )
+    # count(err) skips the unmatched (NULL) errors; a lambda with none gets NaN.
     agg = errs.groupBy("w", "lambda").agg(
         F.count("err").alias("n_pairs"), F.sum("err").alias("_sum"))
-    grid = per_pair.select("w").distinct().select(
-        "w", F.explode(F.array(*[F.lit(lab) for lab in finite])).alias("lambda"))
-    out = grid.join(agg, ["w", "lambda"], "left")
-    return out.select(
-        "w", "lambda",
-        F.coalesce(F.col("n_pairs"), F.lit(0)).alias("n_pairs"),
-        F.when(F.col("n_pairs").isNull(), F.lit(float("nan")))
+    return agg.select(
+        "w", "lambda", "n_pairs",
+        F.when(F.col("n_pairs") == 0, F.lit(float("nan")))
         .otherwise(F.col("_sum").cast("double") / F.col("n_pairs") / F.lit(1e6))
         .alias("mae_vs_infty"),
     )
@@ -77,10 +74,9 @@ def best_lambda(mae: DataFrame) -> DataFrame:
     """[w, best_lambda, best_mae]: smallest MAE, ties to the smaller lambda,
     NaN never wins; a w with nothing comparable gets NULLs."""
     ranked = mae.withColumn("_k", lambda_k("lambda"))
-    best = ranked.filter(~F.isnan("mae_vs_infty")).groupBy("w").agg(
-        F.min(F.struct("mae_vs_infty", "_k", "lambda")).alias("_b"))
-    ws = mae.select("w").distinct()
-    return ws.join(best, "w", "left").select(
+    best = ranked.groupBy("w").agg(F.min(F.when(
+        ~F.isnan("mae_vs_infty"), F.struct("mae_vs_infty", "_k", "lambda"))).alias("_b"))
+    return best.select(
         "w", F.col("_b.lambda").alias("best_lambda"), F.col("_b.mae_vs_infty").alias("best_mae"))
 
 

@@ -88,6 +88,20 @@ def shingle(docs: DataFrame, ws: Iterable[int], keys: Sequence[str] = ("page", "
     )
 
 
+def shingle_sets(docs: DataFrame, ws: Iterable[int], keys: Sequence[str] = ("page", "version"),
+                 text_col: str = "text") -> DataFrame:
+    """keys + n_tokens + ``sets``: array<struct<w int, shingles array<string>>>,
+    one entry per window size, all in the row of their text (no fan-out, so
+    the row keeps its input partitioning for a later join on the key)."""
+    ws = check_windows(ws)
+    keys = list(keys)
+    encoded = docs.select(*keys, tokenize(text_col).alias("_tokens")).select(
+        *keys, F.size("_tokens").alias("n_tokens"), encode_tokens("_tokens").alias("_enc"))
+    return encoded.select(*keys, "n_tokens", F.array(*[
+        F.struct(F.lit(w).alias("w"), F.sort_array(shingle_hashes("_enc", w)).alias("shingles"))
+        for w in ws]).alias("sets"))
+
+
 def sketch(shingles: DataFrame, lambdas: Sequence, keep_shingles: bool = False) -> DataFrame:
     """One row per input row and lambda: ``sketch = slice(shingles, 1, k)``."""
     cols = [c for c in shingles.columns if c != "shingles" or keep_shingles]
