@@ -87,7 +87,7 @@ def event_revisions(events: DataFrame) -> DataFrame:
         F.col("event_id").alias("revid"),
         F.col("ts").alias("timestamp"),
         F.col("event_type").alias("user"),
-        F.round(F.col("value") * 100).cast("long").alias("size"),
+        F.floor(F.col("value") * 100).cast("long").alias("size"),
         F.col("props").alias("comment"),
     )
 

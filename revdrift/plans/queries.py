@@ -8,14 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.labels import lambda_display, lambda_k
+from ..functions.html import html_to_text
+from ..functions.labels import lambda_display, lambda_k, safe_name
 from ..functions.text import encode_tokens, shingle_hashes, tokenize
 from ..operators import compare, report, revisions, runtime
 from ..operators.shingle import parse_lambdas, shingle, sketch
 from ..session import work_partitions
+from ..sources import api
+from ..sources import dumps as dumps_src
 from . import fixtures as fx
 from .oracle import WS, grid_values, jaccard_select, shingle_ctes, tokens_expr
 
@@ -150,6 +153,46 @@ def q_runtime_runs_wide(spark, sf):
     return runtime.runs_wide(runs)
 
 
+def q_api_json_ingest(spark, sf):
+    """Revision metadata landed as API JSON pages (50 revisions per response,
+    built from the events log), parsed back and given offsets."""
+    revs = fx.event_revisions(fx.read_table(spark, sf, "events"))
+    order = Window.partitionBy("page").orderBy(F.desc("timestamp"), F.desc("revid"))
+    ranked = revs.select("*", F.row_number().over(order).alias("_rn"),
+                         F.lead("revid").over(order).alias("parentid"))
+    batched = ranked.withColumn("_batch", F.floor((F.col("_rn") - 1) / 50))
+    entry = F.struct("_rn", "revid", "parentid", "timestamp", "user", "size", "comment")
+    responses = batched.groupBy("page", "_batch").agg(F.to_json(F.struct(F.struct(F.array(F.struct(
+        F.col("page").alias("title"),
+        F.transform(F.sort_array(F.collect_list(entry)), lambda e: e.dropFields("_rn")).alias("revisions"),
+    )).alias("pages")).alias("query"))).alias("body"))
+    parsed = api.revisions_from_responses(responses).withColumnRenamed("title", "page")
+    with_offsets = revisions.revision_offsets(parsed)
+    return with_offsets.select("page", "revid", "parentid", "user", "size", "offset")
+
+
+def q_file_key_parse(spark, sf):
+    """Dump file names (from documents) mixed with other files (page URLs)."""
+    d = _docs(spark, sf).select("doc_id", "lang", tokenize("text").alias("t"))
+    dumps = d.select(F.concat(safe_name(F.try_element_at("t", F.lit(1))), F.lit("_"), F.upper("lang"),
+                              F.lit("_C-"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"))
+    others = fx.read_table(spark, sf, "pages").select(F.regexp_extract("url", "[^/]+$", 0).alias("name"))
+    names = dumps.unionByName(others).filter(F.col("name").isNotNull())
+    parsed = names.select("name", *dumps_src.parse_dump_name("name"))
+    return parsed.select("name", "city", "state", "page", "version",
+                         F.col("version").isNotNull().alias("ok"),
+                         F.size(F.split("page", "_")).alias("key_parts"))
+
+
+def q_html_to_text(spark, sf):
+    """Parse responses (built from pages) -> parse.text -> article text."""
+    pages = fx.read_table(spark, sf, "pages").repartition(work_partitions(spark), "page_id")
+    responses = pages.select("page_id", F.to_json(F.struct(F.struct(F.col("html").alias("text")).alias("parse"))).alias("body"))
+    ok, _ = api.split_parse_responses(responses)
+    txt = ok.select("page_id", html_to_text("html", (".mw-parser-output", "article")).alias("text"))
+    return txt.select("page_id", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"), "text")
+
+
 def queries() -> dict[str, Query]:
     return {
         "tokenize_docs": q_tokenize_docs,
@@ -171,6 +214,9 @@ def queries() -> dict[str, Query]:
         "concat_versions": q_concat_versions,
         "runtime_summary": q_runtime_summary,
         "runtime_runs_wide": q_runtime_runs_wide,
+        "api_json_ingest": q_api_json_ingest,
+        "file_key_parse": q_file_key_parse,
+        "html_to_text": q_html_to_text,
     }
 
 
@@ -186,6 +232,7 @@ f1 AS (
   FROM f1_tok CROSS JOIN (SELECT unnest([{_CHAIN_VERSIONS}]) AS v) vs)"""
 
 _TARGET = "version % 3 = 0 AND version <> 0 AND version <= 147"
+_DUMP_RE = r"^(.+?)_(\w{2})_C-(\d+)\.txt$"
 
 
 def _sim_sql(src: str, ws: tuple[int, ...]) -> str:
@@ -352,6 +399,29 @@ SELECT w, "lambda",
        avg(seconds) AS mean, stddev_pop(seconds) AS std, min(seconds) AS "min", max(seconds) AS "max"
 FROM runs WHERE NOT is_warmup GROUP BY w, "lambda"
 """,
+        "api_json_ingest": """
+SELECT CAST(user_id AS VARCHAR) AS page, event_id AS revid,
+       lead(event_id) OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS parentid,
+       event_type AS "user", CAST(floor(value * 100) AS BIGINT) AS size,
+       CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) - 1 AS INTEGER) AS "offset"
+FROM events""",
+        "file_key_parse": f"""WITH d AS (
+  SELECT doc_id, lang, {tokens_expr()} AS t FROM documents),
+names AS (
+  SELECT regexp_replace(t[1], '[^A-Za-z0-9._-]', '-', 'g') || '_' || upper(lang) || '_C-'
+         || CAST(doc_id AS VARCHAR) || '.txt' AS name FROM d
+  UNION ALL
+  SELECT regexp_extract(url, '[^/]+$', 0) AS name FROM pages),
+p AS (
+  SELECT name, regexp_matches(name, '{_DUMP_RE}') AS ok FROM names WHERE name IS NOT NULL)
+SELECT name,
+       CASE WHEN ok THEN regexp_extract(name, '{_DUMP_RE}', 1) END AS city,
+       CASE WHEN ok THEN regexp_extract(name, '{_DUMP_RE}', 2) END AS state,
+       CASE WHEN ok THEN regexp_extract(name, '{_DUMP_RE}', 1) || '_' || regexp_extract(name, '{_DUMP_RE}', 2) END AS page,
+       CASE WHEN ok THEN CAST(regexp_extract(name, '{_DUMP_RE}', 3) AS INTEGER) END AS version,
+       ok,
+       CAST(CASE WHEN ok THEN len(string_split(regexp_extract(name, '{_DUMP_RE}', 1) || '_' || regexp_extract(name, '{_DUMP_RE}', 2), '_')) END AS INTEGER) AS key_parts
+FROM p""",
         "runtime_runs_wide": f"""WITH {runs}
 SELECT w, CASE WHEN "lambda" = 'inf' THEN '∞' ELSE "lambda" END AS "lambda",
        max(seconds) FILTER (WHERE run = 1) AS run1,

@@ -1,0 +1,54 @@
+"""Report semantics on small hand-made similarity and run tables."""
+
+import math
+
+from pyspark.sql import functions as F
+
+from revdrift.operators import report, revisions, runtime
+
+
+def test_best_lambda_ties_and_nan(spark):
+    mae = spark.createDataFrame(
+        [(25, "8", float("nan")), (25, "16", 0.1), (25, "32", 0.1), (25, "64", 0.2),
+         (50, "8", float("nan")), (50, "16", float("nan"))],
+        "w int, lambda string, mae_vs_infty double")
+    got = {r.w: (r.best_lambda, r.best_mae) for r in report.best_lambda(mae).collect()}
+    assert got[25] == ("16", 0.1)
+    assert got[50] == (None, None)
+
+
+def test_mae_nan_when_nothing_comparable(spark):
+    sim = spark.createDataFrame(
+        [("p", 25, "inf", 3, 0.5), ("p", 25, "8", 3, 0.25), ("q", 25, "8", 6, 0.5)],
+        "page string, w int, lambda string, version int, jaccard double")
+    out = {r["lambda"]: r for r in report.lambda_mae(sim, ["8", "16"]).collect()}
+    assert out["8"].n_pairs == 1 and out["8"].mae_vs_infty == 0.25
+    assert out["16"].n_pairs == 0 and math.isnan(out["16"].mae_vs_infty)
+
+
+def test_runtime_single_run_std_zero(spark):
+    runs = spark.createDataFrame(
+        [(25, "inf", 0, True, 9.0), (25, "inf", 1, False, 2.0)],
+        "w int, lambda string, run int, is_warmup boolean, seconds double")
+    r = runtime.runtime_summary(runs).first()
+    assert r.std == 0.0 and r.mean == 2.0 and r.lambda_display == "∞" and r.n_runs == 1
+    wide = runtime.runs_wide(runs).first()
+    assert wide.run1 == 2.0 and wide.run2 is None and wide["lambda"] == "∞"
+
+
+def test_sampling_every_third(spark):
+    import datetime as dt
+    base = dt.datetime(2024, 1, 1)
+    revs = spark.createDataFrame(
+        [("p", i, base + dt.timedelta(minutes=i)) for i in range(10)],
+        "page string, revid long, timestamp timestamp")
+    got = sorted((r.offset, r.revid) for r in revisions.sample_revisions(revs, 3, 6).collect())
+    assert got == [(0, 9), (3, 6), (6, 3)]
+
+
+def test_concat_versions_separator(spark):
+    v = spark.createDataFrame([("p", 3, "two  "), ("p", 0, "one")], "page string, version int, text string")
+    r = revisions.concat_versions(v).first()
+    sep = "\n" + "=" * 80 + "\n\n"
+    assert r.text == ("one" + sep + "two  " + sep).rstrip() + "\n"
+    assert r.n_parts == 2
