@@ -51,8 +51,8 @@ def read_dumps(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     pattern go to ``rejects`` instead of failing the scan.
     """
     files = list_files(spark, root)
-    texts = (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-             .text(root).select(F.col("_metadata.file_path").alias("_fp"), F.col("value").alias("text")))
+    texts = (spark.read.option("recursiveFileLookup", True)
+             .text(root, wholetext=True).select(F.col("_metadata.file_path").alias("_fp"), F.col("value").alias("text")))
     # _metadata.file_path is a URI path; compare on the file name + parent to be robust
     files = files.withColumn("_key", F.regexp_replace("path", "^file:(//)?", ""))
     texts = texts.withColumn("_key", F.regexp_replace("_fp", "^file:(//)?", ""))
@@ -67,5 +67,5 @@ def read_dumps(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
 
 def read_concatenated(spark: SparkSession, root: str) -> DataFrame:
     """[path, text] of concatenated dumps (one file per page)."""
-    return (spark.read.option("wholetext", True).text(root)
+    return (spark.read.text(root, wholetext=True)
             .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
