@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .compare import is_target
+from .ranking import rank_within
 
 SEPARATOR = "\n" + "=" * 80 + "\n\n"
 # trailing Unicode whitespace (Python rstrip) at the very end of the text
@@ -22,11 +23,16 @@ _TRAILING_WS = ("[\\x{09}-\\x{0d}\\x{1c}-\\x{20}\\x{85}\\x{a0}\\x{1680}"
 
 
 def revision_offsets(revs: DataFrame, max_count: int | None = None, page: str = "page") -> DataFrame:
-    """Add ``offset`` (0 = current revision); keep at most ``max_count`` per page."""
+    """Add ``offset`` (0 = current revision); keep at most ``max_count`` per page.
+
+    With ``max_count`` the rank is a window whose filter becomes a
+    ``WindowGroupLimit`` (bounded per page); without it the whole history is
+    numbered by the skew-safe ``rank_within``.
+    """
+    if max_count is None:
+        return rank_within(revs, page, [F.desc("timestamp"), F.desc("revid")], out="offset")
     w = Window.partitionBy(page).orderBy(F.desc("timestamp"), F.desc("revid"))
-    ranked = revs.withColumn("_rn", F.row_number().over(w))
-    if max_count is not None:
-        ranked = ranked.filter(F.col("_rn") <= int(max_count))
+    ranked = revs.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= int(max_count))
     return ranked.withColumn("offset", (F.col("_rn") - 1).cast("int")).drop("_rn")
 
 

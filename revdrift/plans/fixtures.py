@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokenize
+from ..operators.ranking import rank_within
 from ..session import table_path
 
 # Versions generated per page in the revision chain.
@@ -51,14 +52,11 @@ def revision_chain(documents: DataFrame, versions=CHAIN_VERSIONS) -> DataFrame:
 def sources_as_pages(documents: DataFrame) -> DataFrame:
     """[page, version, doc_id, text] — F2 (version = rank inside the source).
 
-    The rank window sorts (source, doc_id) only; the text is re-attached by
-    the same partitioning, so it is not carried through the sort twice.
+    The rank is skew-safe (``rank_within``): a source holding a third of all
+    documents is numbered by many tasks, not sorted by one.
     """
-    w = Window.partitionBy("source").orderBy("doc_id")
-    return documents.select(
-        F.col("source").alias("page"),
-        (F.row_number().over(w) - 1).cast("int").alias("version"),
-        "doc_id", "text")
+    ranked = rank_within(documents.select("source", "doc_id", "text"), "source", ["doc_id"], out="version")
+    return ranked.select(F.col("source").alias("page"), "version", "doc_id", "text")
 
 
 def sources_as_pages_upto(documents: DataFrame, max_version: int) -> DataFrame:
@@ -74,10 +72,8 @@ def sources_as_pages_upto(documents: DataFrame, max_version: int) -> DataFrame:
 
 def editions(documents: DataFrame) -> DataFrame:
     """[page, version] — F2b: page = source || '/' || lang, version = rank in source."""
-    w = Window.partitionBy("source").orderBy("doc_id")
-    return documents.select(
-        F.concat_ws("/", "source", "lang").alias("page"),
-        (F.row_number().over(w) - 1).cast("int").alias("version"))
+    ranked = rank_within(documents.select("source", "doc_id", "lang"), "source", ["doc_id"], out="version")
+    return ranked.select(F.concat_ws("/", "source", "lang").alias("page"), "version")
 
 
 def event_revisions(events: DataFrame) -> DataFrame:

@@ -155,11 +155,15 @@ def q_runtime_runs_wide(spark, sf):
 
 def q_api_json_ingest(spark, sf):
     """Revision metadata landed as API JSON pages (50 revisions per response,
+    the newest ``max_back + 1`` per page as the collector requests them,
     built from the events log), parsed back and given offsets."""
+    max_count = compare.MAX_BACK + 1
     revs = fx.event_revisions(fx.read_table(spark, sf, "events"))
     order = Window.partitionBy("page").orderBy(F.desc("timestamp"), F.desc("revid"))
-    ranked = revs.select("*", F.row_number().over(order).alias("_rn"),
-                         F.lead("revid").over(order).alias("parentid"))
+    # rank alone first so the limit becomes a WindowGroupLimit below the shuffle;
+    # one extra row keeps the parent id of the oldest kept revision.
+    top = revs.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= max_count + 1)
+    ranked = top.withColumn("parentid", F.lead("revid").over(order)).filter(F.col("_rn") <= max_count)
     batched = ranked.withColumn("_batch", F.floor((F.col("_rn") - 1) / 50))
     entry = F.struct("_rn", "revid", "parentid", "timestamp", "user", "size", "comment")
     responses = batched.groupBy("page", "_batch").agg(F.to_json(F.struct(F.struct(F.array(F.struct(
@@ -167,7 +171,7 @@ def q_api_json_ingest(spark, sf):
         F.transform(F.sort_array(F.collect_list(entry)), lambda e: e.dropFields("_rn")).alias("revisions"),
     )).alias("pages")).alias("query"))).alias("body"))
     parsed = api.revisions_from_responses(responses).withColumnRenamed("title", "page")
-    with_offsets = revisions.revision_offsets(parsed)
+    with_offsets = revisions.revision_offsets(parsed, max_count=max_count)
     return with_offsets.select("page", "revid", "parentid", "user", "size", "offset")
 
 
@@ -400,11 +404,13 @@ SELECT w, "lambda",
 FROM runs WHERE NOT is_warmup GROUP BY w, "lambda"
 """,
         "api_json_ingest": """
-SELECT CAST(user_id AS VARCHAR) AS page, event_id AS revid,
-       lead(event_id) OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS parentid,
-       event_type AS "user", CAST(floor(value * 100) AS BIGINT) AS size,
-       CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) - 1 AS INTEGER) AS "offset"
-FROM events""",
+SELECT page, revid, parentid, "user", size, "offset" FROM (
+  SELECT CAST(user_id AS VARCHAR) AS page, event_id AS revid,
+         lead(event_id) OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS parentid,
+         event_type AS "user", CAST(floor(value * 100) AS BIGINT) AS size,
+         CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) - 1 AS INTEGER) AS "offset"
+  FROM events)
+WHERE "offset" < 148""",
         "file_key_parse": f"""WITH d AS (
   SELECT doc_id, lang, {tokens_expr()} AS t FROM documents),
 names AS (

@@ -52,3 +52,24 @@ def test_concat_versions_separator(spark):
     sep = "\n" + "=" * 80 + "\n\n"
     assert r.text == ("one" + sep + "two  " + sep).rstrip() + "\n"
     assert r.n_parts == 2
+
+
+def test_rank_within_matches_window_on_a_hot_group(spark):
+    from pyspark.sql import Window
+    from revdrift.operators.ranking import rank_within
+    df = spark.range(0, 20000).select(
+        F.when(F.col("id") % 10 < 7, F.lit("hot")).otherwise((F.col("id") % 10).cast("string")).alias("g"),
+        (F.col("id") * 7919 % 20011).alias("k"))
+    got = rank_within(df, "g", ["k"], partitions=16)
+    exp = df.withColumn("rank", (F.row_number().over(Window.partitionBy("g").orderBy("k")) - 1).cast("int"))
+    assert got.select("g", "k", "rank").exceptAll(exp.select("g", "k", "rank")).count() == 0
+    assert got.count() == 20000
+
+
+def test_offsets_without_limit(spark):
+    import datetime as dt
+    base = dt.datetime(2024, 1, 1)
+    revs = spark.createDataFrame([("p", i, base + dt.timedelta(minutes=i)) for i in range(5)],
+                                 "page string, revid long, timestamp timestamp")
+    got = sorted((r.offset, r.revid) for r in revisions.revision_offsets(revs).collect())
+    assert got == [(0, 4), (1, 3), (2, 2), (3, 1), (4, 0)]
