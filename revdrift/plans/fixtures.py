@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import tokenize
 from ..operators.ranking import rank_within
-from ..session import table_path
+from ..session import table_path, work_partitions
 
 # Versions generated per page in the revision chain.
 CHAIN_VERSIONS = (0, 3, 7, 21, 63, 147, 150)
@@ -39,8 +39,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def revision_chain(documents: DataFrame, versions=CHAIN_VERSIONS) -> DataFrame:
-    """[page string, version int, text string] — F1."""
+def revision_chain(documents: DataFrame, versions=CHAIN_VERSIONS,
+                   partitions: int | None = None) -> DataFrame:
+    """[page string, version int, text string] — F1.
+
+    The raw documents are hash-distributed first (one shuffle of the original
+    text) so that building the versions does not run in as few tasks as the
+    input has splits; ``partitions=0`` keeps the input layout.
+    """
+    if partitions != 0:
+        documents = documents.repartition(partitions or work_partitions(documents.sparkSession), "doc_id")
     toks = documents.select(
         F.col("doc_id").cast("string").alias("page"), tokenize("text").alias("_t"))
     fanned = toks.select("page", F.explode(F.array(*[F.lit(int(v)) for v in versions])).alias("version"), "_t")
