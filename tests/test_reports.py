@@ -73,3 +73,26 @@ def test_offsets_without_limit(spark):
                                  "page string, revid long, timestamp timestamp")
     got = sorted((r.offset, r.revid) for r in revisions.revision_offsets(revs).collect())
     assert got == [(0, 4), (1, 3), (2, 2), (3, 1), (4, 0)]
+
+
+def test_completeness_and_validation(spark):
+    import pytest
+    from revdrift.operators import compare
+    from revdrift.operators.shingle import check_windows, parse_lambdas
+    req = spark.createDataFrame([("p", 0, 25, "8"), ("p", 3, 25, "8")], "page string, version int, w int, lambda string")
+    present = req.limit(1)
+    with pytest.raises(RuntimeError, match="sketches missing"):
+        compare.assert_complete(req, present)
+    compare.assert_complete(req, req)
+    with pytest.raises(ValueError):
+        check_windows([0])
+    with pytest.raises(ValueError):
+        parse_lambdas(["-3"])
+    assert parse_lambdas(["INF", "008"]) == [("inf", 2147483647), ("8", 8)]
+
+
+def test_split_page_key(spark):
+    df = spark.createDataFrame([("Miami_FL",), ("a_b_c",)], "k string")
+    rows = df.select(*revisions.split_page_key("k")).collect()
+    assert (rows[0].city, rows[0].state) == ("Miami", "FL")
+    assert (rows[1].city, rows[1].state) == (None, None)
