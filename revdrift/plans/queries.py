@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.html import html_to_text
-from ..functions.labels import lambda_display, lambda_k, safe_name
+from ..functions.labels import lambda_display, lambda_k, lambda_label, safe_name
 from ..functions.text import encode_tokens, shingle_hashes, tokenize
 from ..operators import compare, report, revisions, runtime
 from ..operators.shingle import parse_lambdas, shingle, sketch
@@ -143,6 +143,17 @@ def q_concat_versions(spark, sf):
                       F.length("text").alias("text_length"))
 
 
+def q_lambda_labels(spark, sf):
+    """lambda values requested per event (props.k, plus 'INF' for error events):
+    normalised label, sketch size and display labels; 0 is rejected (NULL)."""
+    ev = fx.read_table(spark, sf, "events")
+    raw = F.when(F.col("event_type") == "error", F.lit("INF")).otherwise(F.get_json_object("props", "$.k"))
+    lab = ev.select("event_id", raw.alias("raw")).withColumn("lambda", lambda_label("raw"))
+    return lab.select("event_id", "raw", "lambda", lambda_k("lambda").alias("k"),
+                      lambda_display("lambda").alias("series_label"),
+                      lambda_display("lambda", "timing").alias("timing_label"))
+
+
 def q_runtime_summary(spark, sf):
     runs = fx.runs_from_events(fx.read_table(spark, sf, "events"))
     return runtime.runtime_summary(runs)
@@ -216,6 +227,7 @@ def queries() -> dict[str, Query]:
         "page_version_jaccard_w2": q_page_version_jaccard_w2,
         "revision_sampling": q_revision_sampling,
         "concat_versions": q_concat_versions,
+        "lambda_labels": q_lambda_labels,
         "runtime_summary": q_runtime_summary,
         "runtime_runs_wide": q_runtime_runs_wide,
         "api_json_ingest": q_api_json_ingest,
@@ -403,6 +415,20 @@ SELECT w, "lambda",
        avg(seconds) AS mean, stddev_pop(seconds) AS std, min(seconds) AS "min", max(seconds) AS "max"
 FROM runs WHERE NOT is_warmup GROUP BY w, "lambda"
 """,
+        "lambda_labels": """
+WITH r AS (
+  SELECT event_id, CASE WHEN event_type = 'error' THEN 'INF' ELSE json_extract_string(props, '$.k') END AS raw
+  FROM events),
+l AS (
+  SELECT event_id, raw,
+         CASE WHEN lower(trim(raw)) IN ('inf', 'infty', 'infinite') THEN 'inf'
+              WHEN TRY_CAST(trim(raw) AS INTEGER) > 0 THEN CAST(TRY_CAST(trim(raw) AS INTEGER) AS VARCHAR) END AS "lambda"
+  FROM r)
+SELECT event_id, raw, "lambda",
+       CAST(CASE WHEN "lambda" = 'inf' THEN 2147483647 ELSE TRY_CAST("lambda" AS INTEGER) END AS INTEGER) AS k,
+       CASE WHEN "lambda" = 'inf' THEN '∞' ELSE 'λ=' || "lambda" END AS series_label,
+       CASE WHEN "lambda" = 'inf' THEN '∞' ELSE "lambda" END AS timing_label
+FROM l""",
         "api_json_ingest": """
 SELECT page, revid, parentid, "user", size, "offset" FROM (
   SELECT CAST(user_id AS VARCHAR) AS page, event_id AS revid,
