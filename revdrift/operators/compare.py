@@ -56,7 +56,7 @@ def jaccard_to_baseline(shingles: DataFrame, lambdas: Sequence, step: int = STEP
 
 def compare_texts(versions: DataFrame, ws: Sequence[int], lambdas: Sequence, step: int = STEP,
                   max_back: int = MAX_BACK, page: str = "page", text_col: str = "text",
-                  partitions: int | None = None) -> DataFrame:
+                  partitions: int | None = None, prepartitioned: bool = False) -> DataFrame:
     """From texts [page, version, text] straight to similarities.
 
     Only baseline and target versions are read (the filter reaches the scan or
@@ -65,11 +65,15 @@ def compare_texts(versions: DataFrame, ws: Sequence[int], lambdas: Sequence, ste
     their text -- and every window size stays inside the row of its text, so
     the baseline/target join is on ``page`` alone and reuses that partitioning
     (no second exchange).  The (w, lambda) fan-out happens after the join.
+    ``prepartitioned=True`` skips the repartition when the caller already
+    hash-partitioned the versions by page (Spark still adds an exchange if the
+    plan cannot prove it).
     """
     needed = versions.filter(needed_versions("version", step, max_back)).select(page, "version", text_col)
     if partitions is None:
         partitions = work_partitions(versions.sparkSession)
-    needed = needed.repartition(partitions, F.col(page))
+    if not prepartitioned:
+        needed = needed.repartition(partitions, F.col(page))
     sets = shingle_sets(needed, ws, keys=(page, "version"), text_col=text_col)
     base = sets.filter(F.col("version") == 0).select(page, F.col("sets").alias("_base"))
     tgt = sets.filter(is_target("version", step, max_back)).select(page, "version", F.col("sets").alias("_cur"))

@@ -43,14 +43,15 @@ def revision_chain(documents: DataFrame, versions=CHAIN_VERSIONS,
                    partitions: int | None = None) -> DataFrame:
     """[page string, version int, text string] — F1.
 
-    The raw documents are hash-distributed first (one shuffle of the original
-    text) so that building the versions does not run in as few tasks as the
-    input has splits; ``partitions=0`` keeps the input layout.
+    The raw documents are hash-distributed by page first (one shuffle of the
+    original text) so that building the versions does not run in as few tasks
+    as the input has splits, and every version of a page is born in its page's
+    partition; ``partitions=0`` keeps the input layout.
     """
+    toks = documents.select(F.col("doc_id").cast("string").alias("page"), "text")
     if partitions != 0:
-        documents = documents.repartition(partitions or work_partitions(documents.sparkSession), "doc_id")
-    toks = documents.select(
-        F.col("doc_id").cast("string").alias("page"), tokenize("text").alias("_t"))
+        toks = toks.repartition(partitions or work_partitions(documents.sparkSession), "page")
+    toks = toks.select("page", tokenize("text").alias("_t"))
     fanned = toks.select("page", F.explode(F.array(*[F.lit(int(v)) for v in versions])).alias("version"), "_t")
     return fanned.select(
         "page", "version",

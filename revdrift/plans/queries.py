@@ -66,8 +66,7 @@ def _chain(spark, sf):
 
 
 def q_sketch_sizes(spark, sf):
-    sk = sketch(shingle(_chain(spark, sf), WS_GRID, partition_by=("page",),
-                        partitions=work_partitions(spark)), LAMBDAS)
+    sk = sketch(shingle(_chain(spark, sf), WS_GRID), LAMBDAS)
     return sk.select("page", "version", "w", "lambda",
                      F.size("sketch").alias("n_sketch"),
                      F.size(F.array_distinct("sketch")).alias("n_distinct"),
@@ -75,7 +74,7 @@ def q_sketch_sizes(spark, sf):
 
 
 def _sim(spark, sf):
-    return compare.compare_texts(_chain(spark, sf), WS_GRID, LAMBDAS)
+    return compare.compare_texts(_chain(spark, sf), WS_GRID, LAMBDAS, prepartitioned=True)
 
 
 def q_jaccard_to_baseline(spark, sf):
