@@ -28,6 +28,8 @@ HEADLINE = (
     "revision_sampling",
     "concat_versions",
     "runtime_summary",
+    "api_json_ingest",          # landed revision JSON -> offsets
+    "html_to_text",             # rendered HTML -> article text (Arrow UDF)
 )
 
 
