@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.html import html_to_text
 from ..functions.labels import lambda_display, lambda_k, lambda_label, safe_name
 from ..functions.text import encode_tokens, shingle_hashes, tokenize
-from ..operators import compare, report, revisions, runtime
+from ..operators import compare, longform, report, revisions, runtime
 from ..operators.shingle import parse_lambdas, shingle, sketch
 from ..session import work_partitions
 from ..sources import api
@@ -61,6 +61,20 @@ def q_shingles_sorted(spark, sf):
                      F.md5(F.array_join("shingles", ",")).alias("list_md5"))
 
 
+def q_sketch_top_lambda(spark, sf):
+    """Finite-lambda sketches of every document as rows (long form, W4):
+    [doc_id, w, lambda, rank, shingle]."""
+    docs = _docs(spark, sf).select("doc_id", "text")
+    rows = None
+    for w in WS_GRID:
+        r = longform.shingle_rows(docs, w, keys=("doc_id",)).withColumn("w", F.lit(w))
+        rows = r if rows is None else rows.unionByName(r)
+    top = longform.bottom_k(rows, max(int(x) for x in FINITE), keys=("doc_id", "w"))
+    grid = F.array(*[F.struct(F.lit(x).alias("lambda"), F.lit(int(x)).alias("k")) for x in FINITE])
+    return top.select("doc_id", "w", "rank", "shingle", F.inline(grid)).filter(
+        F.col("rank") <= F.col("k")).select("doc_id", "w", "lambda", "rank", "shingle")
+
+
 def _chain(spark, sf):
     return fx.revision_chain(_docs(spark, sf))
 
@@ -213,6 +227,7 @@ def queries() -> dict[str, Query]:
         "shingle_hash_w2": q_shingle_hash_w2,
         "shingles_sorted": q_shingles_sorted,
         "sketch_sizes": q_sketch_sizes,
+        "sketch_top_lambda": q_sketch_top_lambda,
         "jaccard_to_baseline": q_jaccard_to_baseline,
         "jaccard_rendered": q_jaccard_rendered,
         "lambda_mae": q_lambda_mae,
@@ -336,6 +351,11 @@ SELECT page, version, CAST(w AS INTEGER) AS w, "lambda",
        CAST(len(list_distinct(shingles[1:k])) AS INTEGER) AS n_distinct,
        md5(array_to_string(shingles[1:k], ',')) AS sketch_md5
 FROM sh_list CROSS JOIN grid""",
+        "sketch_top_lambda": f"""WITH {sh_docs},
+r AS (SELECT doc_id, w, i, h, row_number() OVER (PARTITION BY doc_id, w ORDER BY h, i) AS rnk FROM sh_win),
+grid AS (SELECT * FROM (VALUES ('8', 8), ('16', 16), ('32', 32), ('64', 64)) g("lambda", k))
+SELECT doc_id, CAST(w AS INTEGER) AS w, g."lambda", CAST(rnk AS INTEGER) AS "rank", h AS shingle
+FROM r JOIN grid g ON r.rnk <= g.k""",
         "jaccard_to_baseline": f"""{_F1_SIM}
 SELECT page, w, "lambda", version, intersection, union_size, jaccard FROM sim""",
         "jaccard_rendered": f"""{_F1_SIM},
