@@ -16,7 +16,7 @@ from ..functions.labels import lambda_display, lambda_k, lambda_label, safe_name
 from ..functions.text import encode_tokens, shingle_hashes, tokenize
 from ..operators import compare, longform, report, revisions, runtime
 from ..operators.shingle import parse_lambdas, shingle, sketch
-from ..session import work_partitions
+from ..session import spread
 from ..sources import api
 from ..sources import dumps as dumps_src
 from . import fixtures as fx
@@ -44,15 +44,14 @@ def q_tokenize_docs(spark, sf):
 
 
 def q_shingle_hash_w2(spark, sf):
-    d = _docs(spark, sf).repartition(work_partitions(spark), "doc_id").select(
+    d = spread(_docs(spark, sf), "doc_id").select(
         "doc_id", encode_tokens(tokenize("text")).alias("e"))
     return d.select("doc_id", F.posexplode(shingle_hashes("e", 2)).alias("pos", "shingle")) \
             .select("doc_id", (F.col("pos") + 1).alias("pos"), "shingle")
 
 
 def q_shingles_sorted(spark, sf):
-    sh = shingle(_docs(spark, sf), WS_GRID, keys=("doc_id",), partition_by=("doc_id",),
-                 partitions=work_partitions(spark))
+    sh = shingle(spread(_docs(spark, sf), "doc_id"), WS_GRID, keys=("doc_id",))
     return sh.select("doc_id", "w", "n_tokens",
                      F.size("shingles").alias("n_shingles"),
                      F.size(F.array_distinct("shingles")).alias("n_distinct"),
@@ -214,7 +213,7 @@ def q_file_key_parse(spark, sf):
 
 def q_html_to_text(spark, sf):
     """Parse responses (built from pages) -> parse.text -> article text."""
-    pages = fx.read_table(spark, sf, "pages").repartition(work_partitions(spark), "page_id")
+    pages = spread(fx.read_table(spark, sf, "pages"), "page_id")
     responses = pages.select("page_id", F.to_json(F.struct(F.struct(F.col("html").alias("text")).alias("parse"))).alias("body"))
     ok, _ = api.split_parse_responses(responses)
     txt = ok.select("page_id", html_to_text("html", (".mw-parser-output", "article")).alias("text"))

@@ -67,3 +67,14 @@ def work_partitions(spark: SparkSession) -> int:
     """
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                spark.sparkContext.defaultParallelism)
+
+
+def spread(df, *keys):
+    """Hash-distribute ``df`` only when its input has fewer splits than the
+    cluster can run at once (e.g. one large parquet row group).  At scale the
+    scan already yields thousands of splits and the narrow plan is kept, so no
+    corpus-wide shuffle is paid just for CPU balance."""
+    target = work_partitions(df.sparkSession)
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
