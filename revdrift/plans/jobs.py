@@ -11,6 +11,7 @@ the driver except bounded metadata (the parameter grid).
 * ``similarity_curves``   -- per-page series and the wide curve table (E5)
 * ``runtime_report``      -- timing statistics and the wide timing table (E7)
 * ``revision_corpus``     -- revision log + rendered HTML -> versioned texts (E8)
+* ``study``               -- similarity written once, every report read from it
 """
 
 from __future__ import annotations
@@ -102,3 +103,25 @@ def revision_corpus(revs: DataFrame, rendered: DataFrame, step: int = 3, max_bac
     joined = sampled.join(rendered.select("revid", "html"), "revid", "inner")
     texts = joined.select("page", "version", html_to_text("html", root_selectors).alias("text"))
     return revisions.concat_versions(texts) if concat else texts
+
+
+def study(spark: SparkSession, versions: DataFrame, ws: Sequence[int] = DEFAULT_WS,
+          lambdas: Sequence = DEFAULT_LAMBDAS, path: str | None = None) -> dict[str, DataFrame]:
+    """The whole study with the expensive part done once.
+
+    The similarity table (the only stage that shingles) is written to ``path``
+    -- by default a fresh folder under the cluster's shared
+    ``spark.checkpoint.dir`` -- which also cuts the lineage: the reports below
+    read that table, so a lost executor never re-shingles the corpus.  Pass
+    ``path`` to keep the table somewhere known.
+    """
+    import uuid
+
+    from ..session import scratch_path
+
+    target = path or scratch_path(spark, f"similarity-{uuid.uuid4().hex}")
+    similarity(versions, ws, lambdas).write.mode("overwrite").parquet(target)
+    sim = spark.read.parquet(target)
+    mae, best = lambda_quality(sim, lambdas)
+    series, wide = similarity_curves(sim, lambdas)
+    return {"similarity": sim, "mae": mae, "best": best, "series": series, "wide": wide}

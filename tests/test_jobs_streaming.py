@@ -55,3 +55,11 @@ def test_streaming_sketcher(spark, scratch):
     got = spark.read.parquet(out)
     assert got.count() == 4
     assert got.filter((F.col("page") == "p") & (F.col("version") == 6)).first().sketch == []
+
+
+def test_study_writes_similarity_once(spark, scratch):
+    out = jobs.study(spark, _versions(spark), ws=[2], lambdas=["1", "inf"], path=os.path.join(scratch, "sim"))
+    assert out["similarity"].count() == 4
+    assert "Scan parquet" in out["mae"]._jdf.queryExecution().executedPlan().toString()
+    assert out["best"].first().best_lambda == "1"
+    assert out["wide"].count() == 2
