@@ -63,3 +63,17 @@ def test_study_writes_similarity_once(spark, scratch):
     assert "Scan parquet" in out["mae"]._jdf.queryExecution().executedPlan().toString()
     assert out["best"].first().best_lambda == "1"
     assert out["wide"].count() == 2
+
+
+def test_streaming_resumes_without_duplicates(spark, scratch):
+    src = os.path.join(scratch, "landing2")
+    out = os.path.join(scratch, "sketches2")
+    ck = os.path.join(scratch, "ck2")
+    first = spark.createDataFrame([("p", 0, "a b c")], "page string, version int, text string")
+    first.write.mode("append").parquet(src)
+    start_sketching(spark, src, out, ws=[2], lambdas=["inf"], checkpoint=ck).awaitTermination(120)
+    second = spark.createDataFrame([("p", 3, "a b d")], "page string, version int, text string")
+    second.write.mode("append").parquet(src)
+    start_sketching(spark, src, out, ws=[2], lambdas=["inf"], checkpoint=ck).awaitTermination(120)
+    got = sorted((r.page, r.version) for r in spark.read.parquet(out).collect())
+    assert got == [("p", 0), ("p", 3)]
