@@ -18,12 +18,12 @@ from revdrift.plans.queries import queries  # noqa: E402
 from revdrift.session import local_session  # noqa: E402
 
 HEADLINE = (
-    "shingles_sorted",          # Experiment 3: shingle the whole corpus, w in {25, 50}
+    "shingles_sorted",          # shingle the whole corpus, w in {25, 50}
     "sketch_sizes",             # lambda derivation by truncation over the revision chain
     "jaccard_to_baseline",      # Jaccard(C-0, C-v) for every (w, lambda)
-    "lambda_mae",               # Experiment 1: MAE vs inf
+    "lambda_mae",               # MAE of each lambda vs inf
     "best_lambda",
-    "similarity_curves_wide",   # Experiment 2 series
+    "similarity_curves_wide",   # similarity curves
     "page_version_jaccard_w2",
     "revision_sampling",
     "concat_versions",
