@@ -1,7 +1,10 @@
 """Runtime statistics over a runs table [w, lambda, run, is_warmup, seconds].
 
 Run 0 of each (w, lambda) is the warm-up and is not measured; the summary is
-mean, *population* standard deviation (0.0 for one run), min and max.
+mean, *population* standard deviation (0.0 for one run), min and max.  Mean
+and standard deviation are reported to the nanosecond (9 decimals): floating
+sums depend on the order rows meet in, so unrounded values could differ in
+the last bit between runs and engines.
 """
 
 from __future__ import annotations
@@ -11,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import lambda_display
 
+NS_DIGITS = 9
+
 
 def measured(runs: DataFrame) -> DataFrame:
     return runs.filter(~F.col("is_warmup"))
@@ -20,8 +25,8 @@ def runtime_summary(runs: DataFrame) -> DataFrame:
     m = measured(runs)
     return m.groupBy("w", "lambda").agg(
         F.count("*").alias("n_runs"),
-        F.avg("seconds").alias("mean"),
-        F.stddev_pop("seconds").alias("std"),
+        F.round(F.avg("seconds"), NS_DIGITS).alias("mean"),
+        F.round(F.stddev_pop("seconds"), NS_DIGITS).alias("std"),
         F.min("seconds").alias("min"),
         F.max("seconds").alias("max"),
     ).select("w", "lambda", lambda_display("lambda", style="timing").alias("lambda_display"),
@@ -33,8 +38,8 @@ def runs_wide(runs: DataFrame, n_runs: int = 3) -> DataFrame:
     m = measured(runs)
     wide = m.groupBy("w", "lambda").agg(
         *[F.max(F.when(F.col("run") == i, F.col("seconds"))).alias(f"run{i}") for i in range(1, n_runs + 1)],
-        F.avg("seconds").alias("mean"),
-        F.stddev_pop("seconds").alias("std"),
+        F.round(F.avg("seconds"), NS_DIGITS).alias("mean"),
+        F.round(F.stddev_pop("seconds"), NS_DIGITS).alias("std"),
         F.min("seconds").alias("min"),
         F.max("seconds").alias("max"),
     )

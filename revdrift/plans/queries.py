@@ -430,7 +430,7 @@ FROM (SELECT page, n_parts, regexp_replace(raw, '{WS}$', '') || chr(10) AS t FRO
 SELECT w, "lambda",
        CASE WHEN "lambda" = 'inf' THEN '∞' ELSE "lambda" END AS lambda_display,
        CAST(count(*) AS BIGINT) AS n_runs,
-       avg(seconds) AS mean, stddev_pop(seconds) AS std, min(seconds) AS "min", max(seconds) AS "max"
+       round(avg(seconds), 9) AS mean, round(stddev_pop(seconds), 9) AS std, min(seconds) AS "min", max(seconds) AS "max"
 FROM runs WHERE NOT is_warmup GROUP BY w, "lambda"
 """,
         "lambda_labels": """
@@ -477,7 +477,7 @@ SELECT w, CASE WHEN "lambda" = 'inf' THEN '∞' ELSE "lambda" END AS "lambda",
        max(seconds) FILTER (WHERE run = 1) AS run1,
        max(seconds) FILTER (WHERE run = 2) AS run2,
        max(seconds) FILTER (WHERE run = 3) AS run3,
-       avg(seconds) AS mean, stddev_pop(seconds) AS std, min(seconds) AS "min", max(seconds) AS "max"
+       round(avg(seconds), 9) AS mean, round(stddev_pop(seconds), 9) AS std, min(seconds) AS "min", max(seconds) AS "max"
 FROM runs WHERE NOT is_warmup GROUP BY w, "lambda"
 """,
     }
