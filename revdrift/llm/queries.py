@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import read
 from .exact_dedup import exact_dedup
+from .token_files import read_tokens, with_crc32, write_tokens
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = write_tokens(read(spark, sf_dir, "documents"), BYTE_BPE, end_id=0)
+    return with_crc32(read_tokens(spark, folder))
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +25,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_token_files": op2_token_files,
         "op7_exact_dedup": op7_exact_dedup,
     }
 
