@@ -1,11 +1,11 @@
-"""Whole texts to token ids with the tokenizers library, a batch at a time.
+"""Whole texts to token ids, a batch at a time.
 
 A byte-level BPE tokenizer splits text by a pattern before it merges, and no
 match of that pattern runs from a non-white character into the space behind
 it.  So a text's ids are those of its blocks, cut before each space that
-follows a non-white character.  A batch's distinct blocks go through the
-library once, and the ids of the texts are gathered from them.  Texts in which
-a space follows other white space go through the library whole.
+follows a non-white character.  A coder gets a batch's distinct blocks once,
+and the ids of the texts are gathered from them.  Texts in which a space
+follows other white space go to the coder whole.
 """
 
 from __future__ import annotations
@@ -24,54 +24,53 @@ JOINED = 500
 LOOSE = r"[\s\p{Z}\x{85}\x{1c}-\x{1f}] "
 
 
-def library_tokenizer(path: str, special_as_text: bool = True):
-    """The tokenizer of a file, one for each worker process."""
-    def load():
+class LibraryCoder:
+    """A tokenizer file of the tokenizers library."""
+
+    def __init__(self, path: str, special_as_text: bool):
+        import numpy as np
+
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        t = Tokenizer.from_file(path)
-        t.encode_special_tokens = special_as_text
-        return t
-    return per_worker(("library", path, special_as_text), load)
+        self.tok = Tokenizer.from_file(path)
+        self.tok.encode_special_tokens = special_as_text
+        vocab = self.tok.get_vocab(with_added_tokens=True)
+        self.opens = np.zeros(max(vocab.values()) + 1, dtype=bool)  # ids whose text begins with a space
+        for token, i in vocab.items():
+            self.opens[i] = token.startswith("\u0120")
 
+    def whole(self, texts: list[str]) -> list:
+        import numpy as np
 
-def _opens(tok):
-    """For each id: does its text begin with the space that opens a block?"""
-    import numpy as np
+        return [np.array(e.ids, dtype=np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def build():
-        vocab = tok.get_vocab(with_added_tokens=True)
-        flags = np.zeros(max(vocab.values()) + 1, dtype=bool)
-        for token, i in vocab.items():
-            flags[i] = token.startswith("Ġ")
-        return flags
-    return per_worker(("opens", id(tok)), build)
+    def behind_space(self, blocks: list[str]):
+        """(ids, lengths) of blocks that each follow a space.  Those that end
+        in no white space are joined: only their first tokens begin with a space."""
+        import numpy as np
 
+        loose = [b == "" or b[-1].isspace() for b in blocks]
+        tight = [b for b, x in zip(blocks, loose) if not x]
+        joined = self.whole([" " + " ".join(tight[i:i + JOINED]) for i in range(0, len(tight), JOINED)])
+        ids = np.concatenate([np.empty(0, np.uint32), *joined])
+        lengths = np.diff(np.append(np.flatnonzero(self.opens[ids]), len(ids)))
+        if len(lengths) != len(tight):
+            raise ValueError("the tokenizer merges across spaces; it is not a byte-level BPE of this kind")
+        if len(tight) == len(blocks):
+            return ids, lengths
+        apart = iter(self.whole([" " + b for b, x in zip(blocks, loose) if x]))
+        of = iter(np.split(ids, np.cumsum(lengths)[:-1]))
+        parts = [next(apart) if x else next(of) for x in loose]
+        return np.concatenate(parts), np.array([len(p) for p in parts], dtype=np.int64)
+
+
+def library_coder(path: str, special_as_text: bool = True) -> LibraryCoder:
+    """The coder of a file, one for each worker process."""
+    return per_worker(("library", path, special_as_text), lambda: LibraryCoder(path, special_as_text))
 
-def _ids_of_blocks(blocks: list[str], tok):
-    """(ids, lengths) of blocks that each follow a space."""
-    import numpy as np
 
-    loose = [b == "" or b[-1].isspace() for b in blocks]
-    tight = [b for b, x in zip(blocks, loose) if not x]
-    texts = [" " + " ".join(tight[i:i + JOINED]) for i in range(0, len(tight), JOINED)]
-    joined = [np.array(e.ids, dtype=np.uint32) for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
-    ids = np.concatenate([np.empty(0, np.uint32), *joined])
-    lengths = np.diff(np.append(np.flatnonzero(_opens(tok)[ids]), len(ids)))
-    if len(lengths) != len(tight):
-        raise ValueError("the tokenizer merges across spaces; it is not a byte-level BPE of this kind")
-    if len(tight) == len(blocks):
-        return ids, lengths
-    apart = [np.array(e.ids, dtype=np.uint32)
-             for e in tok.encode_batch_fast([" " + b for b, x in zip(blocks, loose) if x], add_special_tokens=False)]
-    of, parts = np.split(ids, np.cumsum(lengths)[:-1]) if len(lengths) else [], []
-    of, apart = iter(of), iter(apart)
-    parts = [next(apart) if x else next(of) for x in loose]
-    return np.concatenate([np.empty(0, np.uint32), *parts]), np.array([len(p) for p in parts], dtype=np.int64)
-
-
-def _encode(texts, tok):
+def _encode(texts, coder):
     """Runs of rows of an Arrow array of texts without nulls, as (ids, offsets)."""
     import numpy as np
     import pyarrow as pa
@@ -87,9 +86,8 @@ def _encode(texts, tok):
     first[at[:-1]] = True
     used = np.zeros(len(distinct.dictionary), dtype=bool)  # behind a space
     used[which[~first]] = True
-    ids, lengths = _ids_of_blocks(distinct.dictionary.filter(pa.array(used)).to_pylist(), tok)
-    heads = [np.array(e.ids, dtype=np.uint32) for e in
-             tok.encode_batch_fast(flat.filter(pa.array(first)).to_pylist(), add_special_tokens=False)]
+    ids, lengths = coder.behind_space(distinct.dictionary.filter(pa.array(used)).to_pylist())
+    heads = coder.whole(flat.filter(pa.array(first)).to_pylist())
     which = (np.cumsum(used, dtype=np.int32) - 1)[which]
     which[first] = len(lengths) + np.arange(len(heads))
     lengths = np.concatenate([lengths, [len(h) for h in heads]]).astype(np.int32)
@@ -107,14 +105,13 @@ def _encode(texts, tok):
         row = end
 
 
-def encode_texts(texts, path: str, special_as_text: bool = True):
+def encode_texts(texts, coder):
     """Runs of rows of an Arrow string array (nulls count as empty): yields
     (first row, uint32 ids, int64 offsets of the run's rows)."""
     import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    tok = library_tokenizer(path, special_as_text)
     texts = pc.cast(pc.fill_null(texts, ""), pa.large_string())
     size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) if len(texts) else np.empty(0)
     row = 0
@@ -124,12 +121,12 @@ def encode_texts(texts, path: str, special_as_text: bool = True):
         part = texts.slice(row, end - row)
         loose = pc.match_substring_regex(part, LOOSE)
         if pc.any(loose).as_py():  # those whole, the others by blocks
-            whole = iter(tok.encode_batch_fast(part.filter(loose).to_pylist(), add_special_tokens=False))
+            whole = iter(coder.whole(part.filter(loose).to_pylist()))
             part = pc.if_else(loose, pa.scalar("", pa.large_string()), part)
-        for ids, offsets in _encode(part, tok):
+        for ids, offsets in _encode(part, coder):
             n = len(offsets) - 1
             if pc.any(loose.slice(0, n)).as_py():
-                lists = [np.array(next(whole).ids, dtype=np.uint32) if x else ids[a:b]
+                lists = [next(whole) if x else ids[a:b]
                          for x, a, b in zip(loose.slice(0, n).to_pylist(), offsets, offsets[1:])]
                 ids, offsets = np.concatenate(lists), np.cumsum([0, *map(len, lists)])
             yield row, ids, offsets

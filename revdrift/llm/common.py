@@ -45,25 +45,6 @@ def per_worker(key: Any, build: Callable[[], Any]) -> Any:
     return kept[key]
 
 
-class Generations:
-    """A bounded cache of two generations: a full young one becomes the old
-    one, and what is still asked for is taken over.  ``make`` fills it."""
-
-    def __init__(self, make: Callable[[Any], Any], most: int):
-        self.make, self.most, self.young, self.old = make, most, {}, {}
-
-    def __getitem__(self, key: Any) -> Any:
-        got = self.young.get(key)
-        if got is None:
-            got = self.old.get(key)
-            if got is None:
-                got = self.make(key)
-            if len(self.young) >= self.most:
-                self.old, self.young = self.young, {}
-            self.young[key] = got
-        return got
-
-
 def crc32_of_id(col: str = "doc_id") -> Column:
     """crc32 of the id as decimal text (held-out folds)."""
     return F.crc32(F.col(col).cast("string").cast("binary"))

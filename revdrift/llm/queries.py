@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import read
 from .exact_dedup import exact_dedup
+from .packing import pack
+from .prefix_bpe import round_trip_digests
 from .token_files import read_tokens, with_crc32, write_tokens
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+BYTE_BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +22,15 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_crc32(read_tokens(spark, folder))
 
 
+def op3_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip_digests(read(spark, sf_dir, "documents"), BYTE_BPE_RANKS, public_tokenizers.PATTERN)
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packing = pack(read(spark, sf_dir, "documents"), BYTE_BPE, capacity=1024, end_id=2)
+    return packing.placed.join(with_crc32(packing.pieces), ["part", "row"]).drop("part", "row")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -26,6 +38,8 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_files": op2_token_files,
+        "op3_prefix_bpe": op3_prefix_bpe,
+        "op6_packing": op6_packing,
         "op7_exact_dedup": op7_exact_dedup,
     }
 

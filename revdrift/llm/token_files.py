@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .blocks import encode_texts, library_coder
 from .common import partitions
-from .library_ids import encode_texts
 
 SCHEMA = "doc_id long, file int, place long, n_tokens long, ids array<int>"
 
@@ -43,7 +43,7 @@ def _encoder(path: str, end_id: int | None, special_as_text: bool):
 
         file, place = TaskContext.get().partitionId(), 0
         for b in batches:
-            for row, ids, offsets in encode_texts(b.column(1), path, special_as_text):
+            for row, ids, offsets in encode_texts(b.column(1), library_coder(path, special_as_text)):
                 n = np.diff(offsets)
                 if end_id is not None:
                     ids = np.insert(ids, offsets[1:], end_id)
@@ -84,7 +84,8 @@ def read_tokens(spark: SparkSession, folder: str, first: int | None = None, last
     """[doc_id, start, n_tokens, ids] of the documents with first <= id <= last.
 
     ``start`` is the number of ids before the document in all files.  Column
-    selection and the id range reach the Parquet scan.
+    selection and the id range reach the Parquet scan.  Only the sums of the
+    files are broadcast, 12 bytes for each file of the folder.
     """
     files = spark.read.schema(SCHEMA).parquet(folder)
     sizes = files.groupBy("file").agg(F.sum("n_tokens").alias("n"))  # a row for each file
