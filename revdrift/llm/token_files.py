@@ -94,7 +94,7 @@ def read_tokens(spark: SparkSession, folder: str, first: int | None = None, last
         files = files.filter(F.col("doc_id") >= first)
     if last is not None:
         files = files.filter(F.col("doc_id") <= last)
-    return files.join(before, "file").select("doc_id", (F.col("before") + F.col("place")).alias("start"), "n_tokens", "ids")
+    return files.join(F.broadcast(before), "file").select("doc_id", (F.col("before") + F.col("place")).alias("start"), "n_tokens", "ids")
 
 
 def with_crc32(df: DataFrame, ids_col: str = "ids") -> DataFrame:
