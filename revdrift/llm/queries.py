@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import read
+from . import language
+from .common import crc32_of_id, read
 from .exact_dedup import exact_dedup
 from .packing import pack
 from .prefix_bpe import round_trip_digests
+from .quality import QUALITY
 from .token_files import read_tokens, with_crc32, write_tokens
+from .toxicity import toxicity
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 BYTE_BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -26,6 +30,20 @@ def op3_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(read(spark, sf_dir, "documents"), BYTE_BPE_RANKS, public_tokenizers.PATTERN)
 
 
+def _scored(classifier, docs: DataFrame, labels: DataFrame) -> DataFrame:
+    weights = classifier.fit(docs, labels)
+    return classifier.score(docs, weights, "text", "doc_id", classifier.is_held_out().alias("held_out"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(QUALITY, read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return _scored(toxicity(docs), docs, read(spark, sf_dir, "labels"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packing = pack(read(spark, sf_dir, "documents"), BYTE_BPE, capacity=1024, end_id=2)
     return packing.placed.join(with_crc32(packing.pieces), ["part", "row"]).drop("part", "row")
@@ -35,12 +53,21 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc32_of_id() % 4 == 2, F.lit(False))
+    return language.predict(docs, language.fit(docs.filter(~held_out)), "doc_id", "text", held_out.alias("held_out"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_files": op2_token_files,
         "op3_prefix_bpe": op3_prefix_bpe,
+        "op4_quality": op4_quality,
+        "op5_toxicity": op5_toxicity,
         "op6_packing": op6_packing,
         "op7_exact_dedup": op7_exact_dedup,
+        "op9_language": op9_language,
     }
 
 
