@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import language
 from .common import crc32_of_id, read
 from .exact_dedup import exact_dedup
+from .near_dedup import near_dedup
 from .packing import pack
 from .prefix_bpe import round_trip_digests
 from .quality import QUALITY
@@ -21,6 +22,10 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 BYTE_BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(read(spark, sf_dir, "documents"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = write_tokens(read(spark, sf_dir, "documents"), BYTE_BPE, end_id=0)
     return with_crc32(read_tokens(spark, folder))
@@ -61,6 +66,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_near_dedup": op1_near_dedup,
         "op2_token_files": op2_token_files,
         "op3_prefix_bpe": op3_prefix_bpe,
         "op4_quality": op4_quality,
