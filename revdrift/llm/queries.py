@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import language
 from .common import crc32_of_id, read
+from .embedding_dedup import embedding_dedup
 from .exact_dedup import exact_dedup
 from .near_dedup import near_dedup
 from .packing import pack
@@ -64,6 +65,10 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.fit(docs.filter(~held_out)), "doc_id", "text", held_out.alias("held_out"))
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(read(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_dedup": op1_near_dedup,
@@ -74,11 +79,27 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_packing": op6_packing,
         "op7_exact_dedup": op7_exact_dedup,
         "op9_language": op9_language,
+        "op10_embedding_dedup": op10_embedding_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        # the cosine of doubles; classes of links by the least id that spreads
+        "op10_embedding_dedup": """
+            WITH RECURSIVE v AS (
+                SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+                WHERE vec_id IS NOT NULL AND len(embedding) > 0
+                  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                  AND list_max(list_transform(embedding, lambda x: abs(x))) > 0),
+            l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+                  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+            r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings
+                  UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+            c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a),
+            n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+            SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+            FROM embeddings JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id""",
         "op7_exact_dedup": """
             SELECT doc_id,
                    max(doc_id) OVER g AS keep_id,
