@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language
+from . import language, license_scan
 from .common import crc32_of_id, read
 from .embedding_dedup import embedding_dedup
 from .exact_dedup import exact_dedup
@@ -59,6 +59,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(read(spark, sf_dir, "documents"), license_scan.template_table(spark))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     held_out = F.coalesce(crc32_of_id() % 4 == 2, F.lit(False))
@@ -78,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_toxicity": op5_toxicity,
         "op6_packing": op6_packing,
         "op7_exact_dedup": op7_exact_dedup,
+        "op8_license_scan": op8_license_scan,
         "op9_language": op9_language,
         "op10_embedding_dedup": op10_embedding_dedup,
     }
@@ -85,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op8_license_scan": license_scan.oracle_sql(),
         # the cosine of doubles; classes of links by the least id that spreads
         "op10_embedding_dedup": """
             WITH RECURSIVE v AS (
