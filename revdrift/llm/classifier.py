@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructType
 
 from . import ftrl
 from .common import crc32_of_id
@@ -76,27 +77,44 @@ class Classifier:
         """The kept columns with ``score`` (0 to 1, higher: label 1 likelier)
         and ``predicted`` (1 from one half on) for each row.
 
-        Null and empty texts are scored by the bias alone.  The columns kept
-        may have any name and type, also those of the scores' own columns,
-        which then replace them; an empty table gives no rows.
+        Null and empty texts are scored by the bias alone.  Kept columns of the
+        names ``score`` and ``predicted`` give way; an empty table gives no rows.
         """
-        features, held = self.features, docs.sparkSession.sparkContext.broadcast(weights)
-        rows = docs.select(F.col(text_col).cast("string").alias("__text"), *keep)
-        rows = rows.drop("score", "predicted")
+        rows = docs.select(F.col(text_col).cast("string").alias("__text"), *keep).drop("score", "predicted")
+        schema = StructType(rows.schema.fields[1:]).add("score", DoubleType()).add("predicted", IntegerType())
+        scores = self._scores(docs, weights)
 
         def run(batches):
             import numpy as np
             import pyarrow as pa
 
-            w = np.frombuffer(held.value, dtype=np.float32).astype(np.float64)
             for b in batches:
-                total = np.full(len(b), w[-1])
-                for row, doc, found, n in features(b.column(0)):
-                    total[row:row + n] += np.bincount(doc, weights=w[found], minlength=n)
-                score = 1 / (1 + np.exp(-np.clip(total, -500, 500)))
+                score = scores(b.column(0))
                 yield (b.drop_columns(["__text"]).append_column("score", pa.array(score))
                        .append_column("predicted", pa.array((score >= 0.5).astype(np.int32))))
-        from pyspark.sql.types import DoubleType, IntegerType, StructType
-
-        schema = StructType([f for f in rows.schema.fields if f.name != "__text"]).add("score", DoubleType()).add("predicted", IntegerType())
         return rows.mapInArrow(run, schema)
+
+    def choose(self, docs: DataFrame, weights: bytes, label: int, text_col: str = "text") -> DataFrame:
+        """The rows of ``docs`` that are predicted as ``label``, with their columns of any names."""
+        at, scores = docs.columns.index(text_col), self._scores(docs, weights)
+
+        def run(batches):
+            import pyarrow as pa
+            import pyarrow.compute as pc
+
+            for b in batches:
+                yield b.filter(pa.array((scores(pc.cast(b.column(at), pa.string())) >= 0.5) == bool(label)))
+        return docs.mapInArrow(run, docs.schema)
+
+    def _scores(self, docs: DataFrame, weights: bytes):
+        features, held = self.features, docs.sparkSession.sparkContext.broadcast(weights)
+
+        def scores(texts):
+            import numpy as np
+
+            w = np.frombuffer(held.value, dtype=np.float32).astype(np.float64)
+            total = np.full(len(texts), w[-1])
+            for row, doc, found, n in features(texts):
+                total[row:row + n] += np.bincount(doc, weights=w[found], minlength=n)
+            return 1 / (1 + np.exp(-np.clip(total, -500, 500)))
+        return scores

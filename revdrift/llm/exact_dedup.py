@@ -13,7 +13,7 @@ bucket's entries to the index in the shared folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import partitions, written
@@ -75,12 +75,16 @@ def _combine(depth: int, slots: list[int]):
     return run
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str, key_bits: int) -> DataFrame:
-    text = F.coalesce(F.col(text_col), F.lit(""))
+def _key(text: Column, key_bits: int) -> Column:
     key = F.xxhash64(text)
     if key_bits < 64:  # for tests: few bits make collisions
         key = F.shiftleft(F.shiftrightunsigned(key, 64 - key_bits), 64 - key_bits)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), key.alias("key"), text.alias("text"))
+    return key
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str, key_bits: int) -> DataFrame:
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), _key(text, key_bits).alias("key"), text.alias("text"))
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
@@ -128,3 +132,20 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keep = F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id"))
     return j.select("doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
                     F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **index) -> DataFrame:
+    """The rows of ``docs`` that stay, one for each different text, with all columns.
+
+    Of equal texts that is the row with the largest id; of rows that also
+    repeat the id, any one.  Columns may have any names but those that begin
+    with ``__``.
+    """
+    shared = build_index(docs, id_col, text_col, **index).filter("group_size > 1").select(
+        F.col("key").alias("__key"), F.col("text_sha256").alias("__sha"), F.col("keep_id").alias("__keep"), F.lit(True).alias("__shared"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keyed = docs.withColumns({"__key": _key(text, index.get("key_bits", 64)), "__sha": F.sha2(text, 256)})
+    j = keyed.join(shared, ["__key", "__sha"], "left")
+    alone = j.filter(F.col("__shared").isNull())
+    first = j.filter(F.col("__shared") & F.col(id_col).cast("long").eqNullSafe(F.col("__keep"))).dropDuplicates(["__key", "__sha"])
+    return alone.unionByName(first).select(*docs.columns)
