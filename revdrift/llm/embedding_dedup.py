@@ -224,7 +224,7 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     schema = (StructType(list(classes.schema.fields)).add("unit", ArrayType(DoubleType())).add("buckets", ArrayType(LongType())))
     hashed = written(classes.mapInArrow(_hashed, schema), "vectors")
 
-    places = hashed.select("node", F.explode("buckets").alias("bucket"))
+    places = hashed.select("node", F.explode(F.array_distinct("buckets")).alias("bucket"))
     size = places.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select(
         "bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
