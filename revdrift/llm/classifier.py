@@ -71,7 +71,8 @@ class Classifier:
 
         ready = rows.mapInArrow(featured, "doc_id long, label int, features array<int>")
         model = ready.repartition(1).sortWithinPartitions("doc_id", F.hash("features")).mapInArrow(trained, "weights binary")
-        return bytes(model.first()[0])
+        found = model.first()  # no partition of an empty table runs a task
+        return bytes(found[0]) if found else bytes(4 * size)
 
     def score(self, docs: DataFrame, weights: bytes, text_col: str = "text", *keep: str | Column) -> DataFrame:
         """The kept columns with ``score`` (0 to 1, higher: label 1 likelier)
