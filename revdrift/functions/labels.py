@@ -24,7 +24,7 @@ def lambda_label(raw) -> Column:
     reject those rows.
     """
     raw = F.trim(_col(raw).cast("string"))
-    as_int = raw.try_cast("int") if hasattr(raw, "try_cast") else F.expr("NULL")
+    as_int = raw.try_cast("int")
     return (
         F.when(F.lower(raw).isin(*INF_SPELLINGS), F.lit(INF_LABEL))
         .when(as_int > 0, as_int.cast("string"))

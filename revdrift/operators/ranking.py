@@ -2,14 +2,14 @@
 
 ``Window.partitionBy(group).orderBy(...)`` sends every row of a group to one
 task; a page holding a third of all versions would then be sorted by a single
-task.  ``rank_within`` instead range-partitions on (group, order), so a large
-group is cut into many tasks, numbers rows locally, and adds to each task's
-numbers the count of the group's rows held by earlier tasks.  The per-(group,
-task) count table has at most (#groups + #tasks) rows; AQE broadcasts it only
-when its measured size is under the threshold.
-
-The order keys must be unique within a group (as every caller here ensures),
-which also makes the numbering deterministic under task retries.
+task.  ``rank_within`` cuts the rows into buckets by the first order column:
+the buckets' bounds (a few hundred quantiles, computed once and put into the
+plan as literals) make a row's bucket a function of the row alone.  Rows are
+numbered inside (group, bucket), and the counts of the group's earlier buckets
+are added.  Both uses of the bucket agree whatever the plan and its retries do.
+
+The order columns must be unique within a group (as every caller ensures); the
+first must be a number, date or timestamp, and should have many values.
 """
 
 from __future__ import annotations
@@ -22,18 +22,29 @@ from pyspark.sql import functions as F
 from ..session import work_partitions
 
 
-def rank_within(df: DataFrame, group: str, order: Sequence[Column | str], out: str = "rank",
-                partitions: int | None = None) -> DataFrame:
+def _bucket(key: Column, bounds: list, low: int = 0) -> Column:
+    """How many of the ascending ``bounds`` are <= key, by halving."""
+    if not bounds:
+        return F.lit(low)
+    mid = len(bounds) // 2
+    return F.when(key >= F.lit(bounds[mid]), _bucket(key, bounds[mid + 1:], low + mid + 1)).otherwise(
+        _bucket(key, bounds[:mid], low))
+
+
+def rank_within(df: DataFrame, group: str, order: Sequence[str], out: str = "rank",
+                descending: bool = False, buckets: int | None = None) -> DataFrame:
     """Add ``out``: 0-based position of the row inside ``group`` by ``order``."""
-    n = partitions or work_partitions(df.sparkSession)
-    order = [F.col(c) if isinstance(c, str) else c for c in order]
-    ranged = df.repartitionByRange(n, F.col(group), *order).sortWithinPartitions(F.col(group), *order)
-    tagged = ranged.select("*", F.spark_partition_id().alias("_pid"),
-                           F.monotonically_increasing_id().alias("_mono"))
-    counts = tagged.groupBy(group, "_pid").agg(F.min("_mono").alias("_first"), F.count("*").alias("_n"))
-    before = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(group, "_pid", "_first",
-                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    joined = tagged.join(offsets, [group, "_pid"], "inner")
-    return joined.withColumn(out, (F.col("_off") + F.col("_mono") - F.col("_first")).cast("int")) \
-                 .drop("_pid", "_mono", "_first", "_off")
+    n = buckets or work_partitions(df.sparkSession)
+    quantiles = df.agg(F.percentile_approx(order[0], [k / n for k in range(1, n)] or [0.5], 10_000)).first()[0]
+    bounds = sorted(set(quantiles or []))
+    # Spark sorts nulls first when ascending and last when descending
+    bucket = F.coalesce(_bucket(F.col(order[0]), bounds), F.lit(0))
+    rows = df.withColumn("_bucket", F.when(F.col(order[0]).isNull(), F.lit(-1)).otherwise(bucket))
+    by = [F.desc(c) if descending else F.asc(c) for c in order]
+    numbered = rows.withColumn("_at", F.row_number().over(Window.partitionBy(group, "_bucket").orderBy(*by)))
+    before = (Window.partitionBy(group).orderBy(F.desc("_bucket") if descending else F.asc("_bucket"))
+              .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = rows.groupBy(group, "_bucket").agg(F.count("*").alias("_n")).select(
+        F.col(group).alias("_group"), F.col("_bucket").alias("_b"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    joined = numbered.join(offsets, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_bucket") == F.col("_b")))
+    return joined.withColumn(out, (F.col("_off") + F.col("_at") - 1).cast("int")).select(*df.columns, out)

@@ -30,7 +30,7 @@ def revision_offsets(revs: DataFrame, max_count: int | None = None, page: str =
     numbered by the skew-safe ``rank_within``.
     """
     if max_count is None:
-        return rank_within(revs, page, [F.desc("timestamp"), F.desc("revid")], out="offset")
+        return rank_within(revs, page, ["timestamp", "revid"], out="offset", descending=True)
     w = Window.partitionBy(page).orderBy(F.desc("timestamp"), F.desc("revid"))
     ranked = revs.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= int(max_count))
     return ranked.withColumn("offset", (F.col("_rn") - 1).cast("int")).drop("_rn")

@@ -9,6 +9,8 @@ the last bit between runs and engines.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,10 +35,12 @@ def runtime_summary(runs: DataFrame) -> DataFrame:
              "n_runs", "mean", "std", "min", "max")
 
 
-def runs_wide(runs: DataFrame, n_runs: int = 3) -> DataFrame:
-    """The timing table: w, lambda ('∞' for inf), run1..runN, mean, std, min, max."""
+def runs_wide(runs: DataFrame, n_runs: int = 3, keys: Sequence[str] = ("w", "lambda")) -> DataFrame:
+    """The timing table: w, lambda ('∞' for inf), run1..runN, mean, std, min, max.
+
+    ``keys`` adds what tells timing sessions apart, one row for each."""
     m = measured(runs)
-    wide = m.groupBy("w", "lambda").agg(
+    wide = m.groupBy(*keys).agg(
         *[F.max(F.when(F.col("run") == i, F.col("seconds"))).alias(f"run{i}") for i in range(1, n_runs + 1)],
         F.round(F.avg("seconds"), NS_DIGITS).alias("mean"),
         F.round(F.stddev_pop("seconds"), NS_DIGITS).alias("std"),
@@ -44,7 +48,7 @@ def runs_wide(runs: DataFrame, n_runs: int = 3) -> DataFrame:
         F.max("seconds").alias("max"),
     )
     return wide.select("w", lambda_display("lambda", style="timing").alias("lambda"),
-                       *[f"run{i}" for i in range(1, n_runs + 1)], "mean", "std", "min", "max")
+                       *[k for k in keys if k not in ("w", "lambda")], *[f"run{i}" for i in range(1, n_runs + 1)], "mean", "std", "min", "max")
 
 
 def grid_axes(pairs: DataFrame):

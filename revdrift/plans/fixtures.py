@@ -59,24 +59,24 @@ def revision_chain(documents: DataFrame, versions=CHAIN_VERSIONS,
 
 
 def sources_as_pages(documents: DataFrame) -> DataFrame:
-    """[page, version, doc_id, text] — F2 (version = rank inside the source).
+    """[page, version, doc_id] — F2 (version = rank inside the source).
 
     The rank is skew-safe (``rank_within``): a source holding a third of all
     documents is numbered by many tasks, not sorted by one.
     """
-    ranked = rank_within(documents.select("source", "doc_id", "text"), "source", ["doc_id"], out="version")
-    return ranked.select(F.col("source").alias("page"), "version", "doc_id", "text")
+    ranked = rank_within(documents.select("source", "doc_id"), "source", ["doc_id"], out="version")
+    return ranked.select(F.col("source").alias("page"), "version", "doc_id")
 
 
 def sources_as_pages_upto(documents: DataFrame, max_version: int) -> DataFrame:
     """F2 restricted to versions <= max_version: ``row_number() <= n`` lets
-    Catalyst insert a per-partition ``WindowGroupLimit`` before the shuffle, so
-    a source holding a third of all documents ships only ``n`` rows per map
-    task."""
+    Catalyst insert a per-partition ``WindowGroupLimit`` before the shuffle.  Only
+    the keys are ranked; the texts join afterwards, so that what a map task ships
+    for a source is at most ``n`` pairs of numbers."""
     w = Window.partitionBy("source").orderBy("doc_id")
-    ranked = documents.select("source", "doc_id", "text", F.row_number().over(w).alias("_rn"))
-    return ranked.filter(F.col("_rn") <= max_version + 1).select(
-        F.col("source").alias("page"), (F.col("_rn") - 1).cast("int").alias("version"), "doc_id", "text")
+    ranked = documents.select("source", "doc_id", F.row_number().over(w).alias("_rn")).filter(F.col("_rn") <= max_version + 1)
+    kept = ranked.select(F.col("source").alias("page"), (F.col("_rn") - 1).cast("int").alias("version"), "doc_id")
+    return kept.join(documents.select("doc_id", "text"), "doc_id").select("page", "version", "doc_id", "text")
 
 
 def editions(documents: DataFrame) -> DataFrame:
@@ -98,14 +98,16 @@ def event_revisions(events: DataFrame) -> DataFrame:
 
 
 def runs_from_events(events: DataFrame) -> DataFrame:
-    """[w, lambda, run, is_warmup, seconds]; four runs per (w, lambda)."""
+    """[w, lambda, session, run, is_warmup, seconds], a row for each event.
+
+    Consecutive events of a (w, lambda) make timing sessions of four runs, of
+    which the first is the warm-up."""
     mapping = F.create_map(*[x for pair in EVENT_TYPE_LAMBDA for x in (F.lit(pair[0]), F.lit(pair[1]))])
     base = events.select(
         F.when(F.col("event_id") % 2 == 0, F.lit(25)).otherwise(F.lit(50)).alias("w"),
         mapping[F.col("event_type")].alias("lambda"),
         "event_id", F.col("value").alias("seconds"))
-    w = Window.partitionBy("w", "lambda").orderBy("event_id")
-    ranked = base.withColumn("_rn", F.row_number().over(w))
-    return ranked.filter(F.col("_rn") <= 4).select(
-        "w", "lambda", (F.col("_rn") - 1).cast("int").alias("run"),
-        (F.col("_rn") == 1).alias("is_warmup"), "seconds")
+    ranked = rank_within(base.withColumn("_cell", F.concat_ws("/", "w", "lambda")), "_cell", ["event_id"], out="_rank")
+    run = F.col("_rank") % 4
+    return ranked.select("w", "lambda", F.floor(F.col("_rank") / 4).cast("int").alias("session"),
+                         run.cast("int").alias("run"), (run == 0).alias("is_warmup"), "seconds")

@@ -2,14 +2,13 @@
 
 The library never builds its own cluster configuration: jobs take the
 ``SparkSession`` they are given.  ``local_session`` exists for tests and the
-bench only.  ``checkpoint_dir`` reads the shared folder the cluster names in
-``spark.checkpoint.dir`` and only falls back to a scratch folder when the
-setting is unset (local runs).
+bench only.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -38,14 +37,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder; set a scratch one only if unset."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
+
+    A temporary folder stands in only where the setting is missing and the
+    session is local (tests, bench); on a cluster a missing setting is an error,
+    as executors do not see the driver's own folders.
+    """
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="revdrift-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+        spark.sparkContext.setCheckpointDir(current)
     return current
 
 
@@ -67,14 +71,3 @@ def work_partitions(spark: SparkSession) -> int:
     """
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                spark.sparkContext.defaultParallelism)
-
-
-def spread(df, *keys):
-    """Hash-distribute ``df`` only when its input has fewer splits than the
-    cluster can run at once (e.g. one large parquet row group).  At scale the
-    scan already yields thousands of splits and the narrow plan is kept, so no
-    corpus-wide shuffle is paid just for CPU balance."""
-    target = work_partitions(df.sparkSession)
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
