@@ -23,8 +23,3 @@ def _six_dp(values: pd.Series) -> pd.Series:
 def six_decimals(j) -> Column:
     """Text rendering ``%.6f`` with Python's exact half-even rounding."""
     return _six_dp(F.col(j) if isinstance(j, str) else j)
-
-
-def six_decimals_value(j) -> Column:
-    """The rendered value read back as a double (what a CSV reader sees)."""
-    return six_decimals(j).cast("double")

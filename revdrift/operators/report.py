@@ -37,13 +37,14 @@ def _micro(sim: DataFrame) -> DataFrame:
 
 
 def lambda_mae(sim: DataFrame, lambdas: Sequence = ("8", "16", "32", "64"),
-               page: str = "page") -> DataFrame:
+               page: str = "page", ws: Sequence[int] | None = None) -> DataFrame:
     """[w, lambda, n_pairs, mae_vs_infty] for every finite lambda of the grid.
 
     J_lambda is matched with J_inf of the same (w, page, version) by one hash
     aggregation on those keys (no join); that aggregation needs no exchange
     when the input is already partitioned by page.  A lambda with nothing
-    comparable gets NaN, as in the reference.
+    comparable gets NaN, as in the reference; with ``ws`` so does every lambda
+    of a window size without any pair.
     """
     finite = [lab for lab, _ in parse_lambdas(lambdas) if lab != INF_LABEL]
     s = _micro(sim).filter(F.col("lambda").isin(*finite, INF_LABEL))
@@ -62,6 +63,11 @@ def lambda_mae(sim: DataFrame, lambdas: Sequence = ("8", "16", "32", "64"),
     # count(err) skips the unmatched (NULL) errors; a lambda with none gets NaN.
     agg = errs.groupBy("w", "lambda").agg(
         F.count("err").alias("n_pairs"), F.sum("err").alias("_sum"))
+    if ws is not None:
+        cells = [(int(w), lab) for w in ws for lab in finite]
+        grid = sim.sparkSession.createDataFrame(cells, "w int, `lambda` string")
+        agg = grid.join(agg, ["w", "lambda"], "left").select(
+            "w", "lambda", F.coalesce("n_pairs", F.lit(0)).cast("long").alias("n_pairs"), "_sum")
     return agg.select(
         "w", "lambda", "n_pairs",
         F.when(F.col("n_pairs") == 0, F.lit(float("nan")))

@@ -10,6 +10,7 @@ driver or executor resumes exactly where it stopped.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.shingle import shingle, sketch
 from ..session import scratch_path
+from ..sources.sinks import written_by
 
 VERSION_SCHEMA = "page string, version int, text string"
 
@@ -36,11 +38,14 @@ def start_sketching(spark: SparkSession, source_dir: str, sketch_path: str,
     so a replayed batch after a failure is not written twice; the table is
     partitioned by (w, lambda) like the batch sketch table.
     """
+    if written_by(spark, sketch_path) == "batch":
+        raise RuntimeError(f"{sketch_path} holds a batch table; a stream needs a folder of its own")
+    name = hashlib.sha256(f"{source_dir}\n{sketch_path}".encode()).hexdigest()[:24]  # one for each source and sink
     versions = stream_versions(spark, source_dir)
     sketches = sketch(shingle(versions, ws), lambdas).select(
         "page", "version", "n_tokens", "sketch", "w", "lambda")
     writer = (sketches.writeStream.format("parquet").partitionBy("w", "lambda")
               .option("path", sketch_path)
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "sketch-stream")))
+              .option("checkpointLocation", checkpoint or scratch_path(spark, f"sketch-stream-{name}")))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
