@@ -3,24 +3,25 @@
 Semantics: for every page that has version 0, compare version 0 with each
 *target* version ``v`` (``v % step == 0``, ``v != 0``, ``v <= max_back``) for
 every (w, lambda).  Pages without version 0, and pages without any target, are
-skipped and reported.
-
-Plan shape (``jaccard_to_baseline``): targets and baselines come from one
-shingle table; they are joined on (page, w) *before* the lambda fan-out so the
-shingle arrays travel at most once, and each lambda is a ``slice`` of the same
-arrays.  The per-page cardinality of the join is bounded by the target rule
-(at most ``max_back // step`` targets per page), so a page holding a third of
-all versions cannot make one join task unbounded.  When the input is already
-hash-partitioned by page (see ``compare_texts``) the join adds no exchange.
+skipped and reported.  A version that is there twice counts once.
+
+Plan shape: one scan and one exchange.  Rows are dealt by page and sorted by
+version, so the baseline comes first and a window carries it along its page;
+there is no self-join.  The (w, lambda) grid is a literal that is worked off
+inside the row: arrays are never copied once per lambda, and a union's size
+follows from the two sizes and the intersection.  A page has at most
+``max_back // step`` targets, so a page holding a third of all versions cannot
+make one task unbounded.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.labels import lambda_k
 from ..functions.similarity import intersection_size, jaccard_from_sizes, union_size
 from ..functions.text import sketch as _sketch
 from ..session import work_partitions
@@ -42,16 +43,56 @@ def needed_versions(version: Column | str = "version", step: int = STEP,
     return (v == 0) | is_target(v, step, max_back)
 
 
+def _with_baseline(rows: DataFrame, value: str, keys: Sequence[str], step: int, max_back: int) -> DataFrame:
+    """Target rows with ``_base``, the value of version 0 of the same ``keys``."""
+    along = Window.partitionBy(*keys).orderBy("version", "_tie")
+    carried = rows.withColumns({
+        "_base": F.first(F.when(F.col("version") == 0, F.col(value)), ignorenulls=True).over(along),
+        "_before": F.lag("version").over(along)})
+    once = F.col("_before").isNull() | (F.col("_before") != F.col("version"))
+    return carried.filter(once & is_target("version", step, max_back) & F.col("_base").isNotNull())
+
+
+def _sizes(shingles: Column, grid: Column) -> Column:
+    """How many distinct shingles each lambda of the grid leaves."""
+    return F.transform(grid, lambda g: F.size(F.array_distinct(_sketch(shingles, g["k"]))))
+
+
+def _cells(base: Column, cur: Column, grid: Column) -> Column:
+    """[w, lambda, k, intersection, union_size] of two structs [w, shingles, sizes]."""
+    def cell(g, i):
+        shared = intersection_size(_sketch(base["shingles"], g["k"]), _sketch(cur["shingles"], g["k"]))
+        return F.struct(cur["w"].alias("w"), g["lambda"].alias("lambda"), g["k"].alias("k"), shared.alias("intersection"),
+                        (F.get(base["sizes"], i) + F.get(cur["sizes"], i) - shared).alias("union_size"))
+    return F.transform(grid, cell)
+
+
+def _finish(cells: DataFrame, page: str) -> DataFrame:
+    return cells.select(page, "w", "lambda", "k", "version", "intersection", "union_size",
+                        jaccard_from_sizes("intersection", "union_size").alias("jaccard"))
+
+
 def jaccard_to_baseline(shingles: DataFrame, lambdas: Sequence, step: int = STEP,
                         max_back: int = MAX_BACK, page: str = "page") -> DataFrame:
     """shingles[page, version, w, shingles] ->
     [page, w, lambda, k, version, intersection, union_size, jaccard]."""
-    base = shingles.filter(F.col("version") == 0).select(
-        page, "w", F.col("shingles").alias("_base"))
-    tgt = shingles.filter(is_target("version", step, max_back)).select(
-        page, "version", "w", F.col("shingles").alias("_cur"))
-    pairs = tgt.join(base, [page, "w"], "inner")
-    return _jaccard_grid(pairs, lambdas, page)
+    grid = lambda_grid_column(lambdas)
+    one = F.struct("w", "shingles", _sizes(F.col("shingles"), grid).alias("sizes"))
+    rows = shingles.filter(needed_versions("version", step, max_back)).select(
+        page, "w", "version", F.xxhash64("shingles").alias("_tie"), one.alias("_cur"))
+    pairs = _with_baseline(rows, "_cur", [page, "w"], step, max_back)
+    return _finish(pairs.select(page, "version", F.inline(_cells(F.col("_base"), F.col("_cur"), grid))), page)
+
+
+def sketch_similarity(sketches: DataFrame, step: int = STEP, max_back: int = MAX_BACK, page: str = "page") -> DataFrame:
+    """The same from stored sketches [page, version, w, lambda, sketch], each
+    lambda from its own sketches."""
+    rows = sketches.filter(needed_versions("version", step, max_back)).select(
+        page, "w", "lambda", "version", F.xxhash64("sketch").alias("_tie"), "sketch")
+    pairs = _with_baseline(rows, "sketch", [page, "w", "lambda"], step, max_back)
+    return _finish(pairs.select(
+        page, "w", "lambda", lambda_k("lambda").alias("k"), "version",
+        intersection_size("_base", "sketch").alias("intersection"), union_size("_base", "sketch").alias("union_size")), page)
 
 
 def compare_texts(versions: DataFrame, ws: Sequence[int], lambdas: Sequence, step: int = STEP,
@@ -60,38 +101,25 @@ def compare_texts(versions: DataFrame, ws: Sequence[int], lambdas: Sequence, ste
     """From texts [page, version, text] straight to similarities.
 
     Only baseline and target versions are read (the filter reaches the scan or
-    the version generator).  The *texts* are hash-partitioned by page once --
+    the version generator).  The *texts* are dealt by page once and sorted --
     cheaper than moving shingle arrays, which are several times the size of
-    their text -- and every window size stays inside the row of its text, so
-    the baseline/target join is on ``page`` alone and reuses that partitioning
-    (no second exchange).  The (w, lambda) fan-out happens after the join.
+    their text -- and all window sizes stay in the row of their text.
     ``prepartitioned=True`` skips the repartition when the caller already
     hash-partitioned the versions by page (Spark still adds an exchange if the
     plan cannot prove it).
     """
-    needed = versions.filter(needed_versions("version", step, max_back)).select(page, "version", text_col)
-    if partitions is None:
-        partitions = work_partitions(versions.sparkSession)
+    needed = versions.filter(needed_versions("version", step, max_back)).select(
+        page, "version", text_col, F.xxhash64(text_col).alias("_tie"))
     if not prepartitioned:
-        needed = needed.repartition(partitions, F.col(page))
-    sets = shingle_sets(needed, ws, keys=(page, "version"), text_col=text_col)
-    base = sets.filter(F.col("version") == 0).select(page, F.col("sets").alias("_base"))
-    tgt = sets.filter(is_target("version", step, max_back)).select(page, "version", F.col("sets").alias("_cur"))
-    pairs = tgt.join(base, page, "inner")
-    per_w = pairs.select(page, "version", F.inline(F.zip_with(
-        "_base", "_cur", lambda b, c: F.struct(b["w"].alias("w"), b["shingles"].alias("_base"),
-                                               c["shingles"].alias("_cur")))))
-    return _jaccard_grid(per_w, lambdas, page)
-
-
-def _jaccard_grid(pairs: DataFrame, lambdas: Sequence, page: str) -> DataFrame:
-    fanned = pairs.select(page, "w", "version", "_base", "_cur", F.inline(lambda_grid_column(lambdas)))
-    sized = fanned.select(
-        page, "w", "lambda", "k", "version",
-        intersection_size(_sketch("_base", F.col("k")), _sketch("_cur", F.col("k"))).alias("intersection"),
-        union_size(_sketch("_base", F.col("k")), _sketch("_cur", F.col("k"))).alias("union_size"),
-    )
-    return sized.withColumn("jaccard", jaccard_from_sizes("intersection", "union_size"))
+        needed = needed.repartition(partitions or work_partitions(versions.sparkSession), F.col(page))
+    needed = needed.sortWithinPartitions(page, "version", "_tie")
+    grid = lambda_grid_column(lambdas)
+    sets = shingle_sets(needed, ws, keys=(page, "version", "_tie"), text_col=text_col)
+    sized = sets.select(page, "version", "_tie", F.transform("sets", lambda s: F.struct(
+        s["w"].alias("w"), s["shingles"].alias("shingles"), _sizes(s["shingles"], grid).alias("sizes"))).alias("_cur"))
+    pairs = _with_baseline(sized, "_cur", [page], step, max_back)
+    cells = F.flatten(F.zip_with("_base", "_cur", lambda b, c: _cells(b, c, grid)))
+    return _finish(pairs.select(page, "version", F.inline(cells)), page)
 
 
 def skipped_pages(catalog: DataFrame, step: int = STEP, max_back: int = MAX_BACK,

@@ -1,57 +1,55 @@
-"""Long-form shingling for very large single documents (one row per shingle).
+"""Shingling in chunks of tokens, for very large single documents.
 
 The array form keeps a document's whole shingle list in one row, which is
-right for ordinary documents.  For a document of many millions of tokens the
-row itself becomes the bottleneck, so this form works on token rows instead:
-
-* tokens are numbered (``posexplode``) and cut into position buckets of
-  ``bucket_tokens``; every token also goes to the previous bucket when it is
-  among the first ``w - 1`` of its own, so each bucket holds all the windows
-  that *start* in it;
-* a ``rowsBetween(0, w - 1)`` frame over (document, bucket) ordered by
-  position collects each window's encoded tokens, and ``md5`` hashes them;
-* no group is larger than ``bucket_tokens + w - 1`` rows, whatever the size
-  of the document, so a huge document is spread over many tasks.
-
-Digests are identical to the array form; ``bottom_k`` gives the lambda-sketch
-rows with a per-partition ``WindowGroupLimit`` before its shuffle.
+right for ordinary documents.  Here a document's encoded tokens are cut into
+chunks of ``chunk_tokens`` window starts, each with the ``w - 1`` tokens behind
+it, so that a row never holds more than a chunk's digests.  No token is
+shuffled and no window function runs over tokens; a sketch takes the least
+digests of each chunk first and only those meet in a shuffle.
+
+Digests are identical to the array form.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import encode_tokens, tokenize
+from ..functions.text import encode_tokens, shingle_hashes, tokenize
+from .shingle import check_windows
+
+
+def _chunks(docs: DataFrame, ws: Iterable[int], keys: Sequence[str], text_col: str, chunk_tokens: int) -> DataFrame:
+    """[keys..., w, _at (window starts before the chunk), _digests] of chunks with a window."""
+    b = int(chunk_tokens)
+    if b <= 0:
+        raise ValueError("chunk_tokens must be positive")
+    sizes = F.array(*[F.lit(w) for w in check_windows(ws)])
+    encoded = docs.select(*keys, encode_tokens(tokenize(text_col)).alias("_e"))
+    starts = encoded.select(*keys, "_e", F.explode(sizes).alias("w")).filter(F.size("_e") >= F.col("w"))
+    cut = starts.select(*keys, "w", "_e", F.explode(F.sequence(F.lit(0), F.floor((F.size("_e") - F.col("w")) / b).cast("int"))).alias("_c"))
+    at = (F.col("_c") * b).cast("int")
+    parts = cut.select(*keys, "w", at.alias("_at"), F.slice("_e", at + 1, F.col("w") + (b - 1)).alias("_part"))
+    return parts.select(*keys, "w", "_at", shingle_hashes("_part", F.col("w")).alias("_digests"))
 
 
 def shingle_rows(docs: DataFrame, w: int, keys: Sequence[str] = ("page", "version"),
-                 text_col: str = "text", bucket_tokens: int = 1 << 16) -> DataFrame:
+                 text_col: str = "text", chunk_tokens: int = 1 << 16) -> DataFrame:
     """[keys..., pos (1-based window start), shingle]; documents shorter than w give no rows."""
-    w, b = int(w), int(bucket_tokens)
-    if w <= 0 or b < w:
-        raise ValueError("need w > 0 and bucket_tokens >= w")
+    rows = _chunks(docs, [w], list(keys), text_col, chunk_tokens)
+    return rows.select(*keys, "_at", F.posexplode("_digests").alias("_p", "shingle")).select(
+        *keys, (F.col("_at") + F.col("_p") + 1).cast("int").alias("pos"), "shingle")
+
+
+def bottom_k(docs: DataFrame, ws: Iterable[int], k: int, keys: Sequence[str] = ("page", "version"),
+             text_col: str = "text", chunk_tokens: int = 1 << 16) -> DataFrame:
+    """The k least digests of each document and w (a lambda-sketch, duplicates
+    kept) as rows [keys..., w, rank, shingle]: k of each chunk, then k of those."""
     keys = list(keys)
-    toks = docs.select(*keys, F.posexplode(encode_tokens(tokenize(text_col))).alias("_p", "_e"))
-    home = F.floor(F.col("_p") / b)
-    copies = F.when((F.col("_p") % b < w - 1) & (home > 0), F.array(home, home - 1)).otherwise(F.array(home))
-    spread = toks.select(*keys, "_p", "_e", F.explode(copies).alias("_bucket"))
-    frame = Window.partitionBy(*keys, "_bucket").orderBy("_p").rowsBetween(0, w - 1)
-    windows = spread.select(
-        *keys, "_p", "_bucket",
-        F.array_join(F.collect_list("_e").over(frame), "").alias("_win"),
-        F.count("_e").over(frame).alias("_len"))
-    # keep windows that start in their own bucket and are complete
-    own = windows.filter((F.floor(F.col("_p") / b) == F.col("_bucket")) & (F.col("_len") == w))
-    return own.select(*keys, (F.col("_p") + 1).cast("int").alias("pos"),
-                      F.md5(F.col("_win").cast("binary")).alias("shingle"))
-
-
-def bottom_k(rows: DataFrame, k: int, keys: Sequence[str] = ("page", "version")) -> DataFrame:
-    """The k smallest digests per document (a lambda-sketch, duplicates kept) as
-    rows [keys..., rank, shingle]; the limit runs per partition before the shuffle."""
-    order = Window.partitionBy(*keys).orderBy("shingle", "pos")
-    ranked = rows.withColumn("rank", F.row_number().over(order))
-    return ranked.filter(F.col("rank") <= int(k)).select(*keys, "rank", "shingle")
+    least = _chunks(docs, ws, keys, text_col, chunk_tokens).select(
+        *keys, "w", "_at", F.posexplode(F.slice(F.sort_array("_digests"), 1, int(k))).alias("_p", "shingle"))
+    order = Window.partitionBy(*keys, "w").orderBy("shingle", "_at", "_p")
+    ranked = least.withColumn("rank", F.row_number().over(order))
+    return ranked.filter(F.col("rank") <= int(k)).select(*keys, "w", "rank", "shingle")

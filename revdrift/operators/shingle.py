@@ -52,11 +52,6 @@ def lambda_grid_column(lambdas: Sequence) -> Column:
     ])
 
 
-def tokenize_docs(docs: DataFrame, keys: Sequence[str], text_col: str = "text") -> DataFrame:
-    """keys + tokens array."""
-    return docs.select(*keys, tokenize(text_col).alias("tokens"))
-
-
 def shingle(docs: DataFrame, ws: Iterable[int], keys: Sequence[str] = ("page", "version"),
             text_col: str = "text", partition_by: Sequence[str] | None = None,
             partitions: int | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ the driver except bounded metadata (the parameter grid).
 * ``sketch_corpus``       -- derive every lambda by truncation (E6, T7)
 * ``similarity``          -- Jaccard(C-0, C-v) for the (w, lambda) grid (E2)
 * ``lambda_quality``      -- MAE vs inf per (w, lambda) and the best lambda (E3)
-* ``materialize_sketches``-- read-through sketch table for a grid (E4, S13)
+* ``materialize_sketches`` and ``materialize_similarity`` -- read-through tables for a grid (E4, S13)
 * ``similarity_curves``   -- per-page series and the wide curve table (E5)
 * ``runtime_report``      -- timing statistics and the wide timing table (E7)
 * ``revision_corpus``     -- revision log + rendered HTML -> versioned texts (E8)
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.html import DEFAULT_ROOTS, html_to_text
 from ..operators import compare, report, revisions, runtime
-from ..operators.shingle import shingle, sketch
+from ..operators.shingle import check_windows, parse_lambdas, shingle, sketch
 from ..session import work_partitions
 from ..sources import sinks
 
@@ -57,18 +57,36 @@ def similarity(versions: DataFrame, ws: Sequence[int] = DEFAULT_WS,
 
 
 def similarity_from_sketches(sketches: DataFrame, lambdas: Sequence = DEFAULT_LAMBDAS,
-                             step: int = compare.STEP, max_back: int = compare.MAX_BACK) -> DataFrame:
-    """Same, from a stored sketch table [page, version, w, lambda, sketch]:
-    the inf sketches carry everything, finite lambdas are sliced again."""
-    inf = sketches.filter(F.col("lambda") == "inf").select("page", "version", "w",
-                                                            F.col("sketch").alias("shingles"))
-    return report.render(compare.jaccard_to_baseline(inf, lambdas, step, max_back))
-
-
-def lambda_quality(sim: DataFrame, lambdas: Sequence = DEFAULT_LAMBDAS) -> tuple[DataFrame, DataFrame]:
-    """(summary[w, lambda, n_pairs, mae_vs_infty], best[w, best_lambda, best_mae])."""
-    finite = [l for l in lambdas if str(l).lower() != "inf"]
-    mae = report.lambda_mae(sim, finite)
+                             step: int = compare.STEP, max_back: int = compare.MAX_BACK,
+                             catalog: DataFrame | None = None, ws: Sequence[int] | None = None) -> DataFrame:
+    """Same, from a stored sketch table [page, version, w, lambda, sketch].
+
+    Each lambda is read from its own partition of the table.  ``catalog``
+    [page, version] names the versions that the corpus has (those of the table,
+    if it is not given); a sketch that a comparison needs and the table lacks is
+    an error that names it.
+    """
+    labels = [label for label, _ in parse_lambdas(lambdas)]
+    asked = sketches.filter(F.col("lambda").isin(*labels))
+    if ws is not None:
+        asked = asked.filter(F.col("w").isin(*check_windows(ws)))
+    known = revisions.catalog(sketches if catalog is None else catalog)
+    compared = known.join(compare.skipped_pages(known, step, max_back), "page", "left_anti").filter(
+        compare.needed_versions("version", step, max_back))
+    sizes = [int(w) for w in ws] if ws is not None else sorted(r[0] for r in sketches.select("w").distinct().collect())
+    if not sizes:
+        raise RuntimeError("the sketch table is empty")
+    grid = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(label).alias("lambda")) for w in sizes for label in labels])
+    compare.assert_complete(compared.select("page", "version", F.inline(grid)), asked)
+    return report.render(compare.sketch_similarity(asked, step, max_back))
+
+
+def lambda_quality(sim: DataFrame, lambdas: Sequence = DEFAULT_LAMBDAS,
+                   ws: Sequence[int] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(summary[w, lambda, n_pairs, mae_vs_infty], best[w, best_lambda, best_mae]);
+    with ``ws`` a row for each cell of the grid, NaN where nothing compares."""
+    finite = [lam for lam in lambdas if str(lam).lower() != "inf"]
+    mae = report.lambda_mae(sim, finite, ws=ws)
     return mae, report.best_lambda(mae)
 
 
@@ -80,6 +98,16 @@ def materialize_sketches(spark: SparkSession, versions: DataFrame, path: str,
         spark, path, grid, lambda w2, l2: sketch_corpus(versions, w2, l2).drop("k"), refresh)
 
 
+def materialize_similarity(spark: SparkSession, versions: DataFrame, path: str,
+                           ws: Sequence[int] = DEFAULT_WS, lambdas: Sequence = DEFAULT_LAMBDAS,
+                           refresh: bool = False) -> DataFrame:
+    """Read-through similarity table: only the (w, lambda) cells that are not at
+    ``path`` are computed, and all are there afterwards or it fails."""
+    grid = [(w, label) for w in check_windows(ws) for label, _ in parse_lambdas(lambdas)]
+    stored = sinks.materialize_similarity(spark, path, grid, lambda w2, l2: similarity(versions, w2, l2), refresh)
+    return stored.filter(F.col("w").isin(*[w for w, _ in grid]) & F.col("lambda").isin(*[lam for _, lam in grid]))
+
+
 def similarity_curves(sim: DataFrame, lambdas: Sequence = DEFAULT_LAMBDAS) -> tuple[DataFrame, DataFrame]:
     """(series[page, w, lambda, points], wide[page, w, version, lam_*])."""
     return report.similarity_series(sim), report.curves_wide(sim, lambdas)
@@ -96,32 +124,36 @@ def revision_corpus(revs: DataFrame, rendered: DataFrame, step: int = 3, max_bac
 
     Returns [page, version, text] (or [page, n_parts, text] with ``concat``).
     The sampled side is bounded per page, so the join on revid is an ordinary
-    shuffle join (or a runtime broadcast when AQE measures it small).
+    shuffle join (or a runtime broadcast when AQE measures it small).  A sampled
+    revision without HTML is an error that names it.
     """
     sampled = revisions.sample_revisions(revs, step, max_back).select(
         "page", F.col("offset").alias("version"), "revid")
-    joined = sampled.join(rendered.select("revid", "html"), "revid", "inner")
+    html = rendered.filter(F.col("html").isNotNull()).select("revid", "html")
+    absent = sampled.join(html.select("revid"), "revid", "left_anti").take(5)
+    if absent:
+        raise RuntimeError("no rendered HTML for " + ", ".join(f"revision {r.revid} of {r.page}" for r in absent))
+    joined = sampled.join(html, "revid")
     texts = joined.select("page", "version", html_to_text("html", root_selectors).alias("text"))
     return revisions.concat_versions(texts) if concat else texts
 
 
 def study(spark: SparkSession, versions: DataFrame, ws: Sequence[int] = DEFAULT_WS,
-          lambdas: Sequence = DEFAULT_LAMBDAS, path: str | None = None) -> dict[str, DataFrame]:
+          lambdas: Sequence = DEFAULT_LAMBDAS, path: str | None = None, refresh: bool = False) -> dict[str, DataFrame]:
     """The whole study with the expensive part done once.
 
-    The similarity table (the only stage that shingles) is written to ``path``
-    -- by default a fresh folder under the cluster's shared
+    The similarity table (the only stage that shingles) is a read-through table
+    at ``path`` -- by default a fresh folder under the cluster's shared
     ``spark.checkpoint.dir`` -- which also cuts the lineage: the reports below
-    read that table, so a lost executor never re-shingles the corpus.  Pass
-    ``path`` to keep the table somewhere known.
+    read that table, so a lost executor never re-shingles the corpus.  With a
+    ``path``, cells that an earlier study left there are not computed again.
     """
     import uuid
 
     from ..session import scratch_path
 
     target = path or scratch_path(spark, f"similarity-{uuid.uuid4().hex}")
-    similarity(versions, ws, lambdas).write.mode("overwrite").parquet(target)
-    sim = spark.read.parquet(target)
-    mae, best = lambda_quality(sim, lambdas)
+    sim = materialize_similarity(spark, versions, target, ws, lambdas, refresh)
+    mae, best = lambda_quality(sim, lambdas, ws)
     series, wide = similarity_curves(sim, lambdas)
     return {"similarity": sim, "mae": mae, "best": best, "series": series, "wide": wide}

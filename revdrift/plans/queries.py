@@ -6,6 +6,7 @@ column names and types are aliased identically on both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -16,10 +17,12 @@ from ..functions.labels import lambda_display, lambda_k, lambda_label, safe_name
 from ..functions.text import encode_tokens, shingle_hashes, tokenize
 from ..operators import compare, longform, report, revisions, runtime
 from ..operators.shingle import parse_lambdas, shingle, sketch
-from ..session import spread
+from ..session import scratch_path, work_partitions
 from ..sources import api
 from ..sources import dumps as dumps_src
+from ..sources import sinks
 from . import fixtures as fx
+from . import jobs
 from .oracle import WS, grid_values, jaccard_select, shingle_ctes, tokens_expr
 
 # The reference's parameter grid.
@@ -34,6 +37,15 @@ def _docs(spark: SparkSession, sf: str) -> DataFrame:
     return fx.read_table(spark, sf, "documents")
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Texts dealt evenly to the hash-heavy stage behind, whatever the files' splits."""
+    return df.repartition(work_partitions(df.sparkSession), key)
+
+
 # ---------------------------------------------------------------- Spark side
 
 def q_tokenize_docs(spark, sf):
@@ -44,14 +56,14 @@ def q_tokenize_docs(spark, sf):
 
 
 def q_shingle_hash_w2(spark, sf):
-    d = spread(_docs(spark, sf), "doc_id").select(
+    d = _spread(_docs(spark, sf), "doc_id").select(
         "doc_id", encode_tokens(tokenize("text")).alias("e"))
     return d.select("doc_id", F.posexplode(shingle_hashes("e", 2)).alias("pos", "shingle")) \
             .select("doc_id", (F.col("pos") + 1).alias("pos"), "shingle")
 
 
 def q_shingles_sorted(spark, sf):
-    sh = shingle(spread(_docs(spark, sf), "doc_id"), WS_GRID, keys=("doc_id",))
+    sh = shingle(_spread(_docs(spark, sf), "doc_id"), WS_GRID, keys=("doc_id",))
     return sh.select("doc_id", "w", "n_tokens",
                      F.size("shingles").alias("n_shingles"),
                      F.size(F.array_distinct("shingles")).alias("n_distinct"),
@@ -63,12 +75,8 @@ def q_shingles_sorted(spark, sf):
 def q_sketch_top_lambda(spark, sf):
     """Finite-lambda sketches of every document as rows (long form, W4):
     [doc_id, w, lambda, rank, shingle]."""
-    docs = _docs(spark, sf).select("doc_id", "text")
-    rows = None
-    for w in WS_GRID:
-        r = longform.shingle_rows(docs, w, keys=("doc_id",)).withColumn("w", F.lit(w))
-        rows = r if rows is None else rows.unionByName(r)
-    top = longform.bottom_k(rows, max(int(x) for x in FINITE), keys=("doc_id", "w"))
+    docs = _spread(_docs(spark, sf).select("doc_id", "text"), "doc_id")
+    top = longform.bottom_k(docs, WS_GRID, max(int(x) for x in FINITE), keys=("doc_id",))
     grid = F.array(*[F.struct(F.lit(x).alias("lambda"), F.lit(int(x)).alias("k")) for x in FINITE])
     return top.select("doc_id", "w", "rank", "shingle", F.inline(grid)).filter(
         F.col("rank") <= F.col("k")).select("doc_id", "w", "lambda", "rank", "shingle")
@@ -128,12 +136,16 @@ def q_skipped_pages(spark, sf):
 
 
 def q_missing_sketches(spark, sf):
+    """What a stored sketch table lacks: it was written without the lambda-16
+    sketches of version 63 and without the pages that end in 7, and lambda 32
+    was never computed."""
     chain = _chain(spark, sf).filter(compare.needed_versions("version"))
-    present = sketch(shingle(chain, WS_GRID), LAMBDAS)
-    required = chain.select("page", "version").select(
-        "page", "version", F.explode(F.array(*[F.lit(w) for w in WS_GRID])).alias("w")).select(
-        "page", "version", "w", F.explode(F.array(*[F.lit(x) for x in LAMBDAS + ("128",)])).alias("lambda"))
-    return compare.missing_sketches(required, present)
+    gone = F.col("page").endswith("7") | ((F.col("version") == 63) & (F.col("lambda") == "16"))
+    path = _scratch(spark, "sketches")
+    sinks.write_sketches(sketch(shingle(chain, (25,)), ("8", "16")).filter(~gone), path)
+    grid = F.array(*[F.struct(F.lit(25).alias("w"), F.lit(x).alias("lambda")) for x in ("8", "16", "32")])
+    required = chain.select("page", "version", F.inline(grid))
+    return compare.missing_sketches(required, sinks.read_sketches(spark, path))
 
 
 def q_page_version_jaccard_w2(spark, sf):
@@ -173,7 +185,7 @@ def q_runtime_summary(spark, sf):
 
 def q_runtime_runs_wide(spark, sf):
     runs = fx.runs_from_events(fx.read_table(spark, sf, "events"))
-    return runtime.runs_wide(runs)
+    return runtime.runs_wide(runs, keys=("w", "lambda", "session"))
 
 
 def q_api_json_ingest(spark, sf):
@@ -213,15 +225,99 @@ def q_file_key_parse(spark, sf):
 
 def q_html_to_text(spark, sf):
     """Parse responses (built from pages) -> parse.text -> article text."""
-    pages = spread(fx.read_table(spark, sf, "pages"), "page_id")
+    pages = _spread(fx.read_table(spark, sf, "pages"), "page_id")
     responses = pages.select("page_id", F.to_json(F.struct(F.struct(F.col("html").alias("text")).alias("parse"))).alias("body"))
     ok, _ = api.split_parse_responses(responses)
     txt = ok.select("page_id", html_to_text("html", (".mw-parser-output", "article")).alias("text"))
     return txt.select("page_id", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"), "text")
 
 
+def _small_sim(spark, sf):
+    f2 = fx.sources_as_pages_upto(_docs(spark, sf), compare.MAX_BACK)
+    return report.render(compare.compare_texts(f2, (2,), LAMBDAS))
+
+
+def q_similarity_csv(spark, sf):
+    """The similarity CSV, written and read back."""
+    path = _scratch(spark, "similarity-csv")
+    sinks.write_jaccard_csv(_small_sim(spark, sf), path)
+    return sinks.read_jaccard_csv(spark, path)
+
+
+def q_similarity_table(spark, sf):
+    """Read-through similarity table: two cells first, then the grid around them."""
+    f2 = fx.sources_as_pages_upto(_docs(spark, sf), compare.MAX_BACK)
+    path = _scratch(spark, "similarity")
+    jobs.materialize_similarity(spark, f2, path, (2,), ("8", "inf"))
+    return jobs.materialize_similarity(spark, f2, path, (2,), LAMBDAS).select(
+        "page", "w", "lambda", "version", "intersection", "union_size", "jaccard_6dp")
+
+
+def q_summary_csv(spark, sf):
+    """The summary CSV, written and read back; window size 3 has no pairs."""
+    path = _scratch(spark, "summary-csv")
+    sinks.write_csv(report.lambda_mae(_small_sim(spark, sf), FINITE, ws=(2, 3)), path, sinks.SUMMARY_COLUMNS)
+    back = spark.read.schema("w int, `lambda` string, mae_vs_infty double").option("header", True).csv(path)
+    return back.select("w", "lambda", F.when(~F.isnan("mae_vs_infty"), F.col("mae_vs_infty")).alias("mae_vs_infty"))
+
+
+def q_timing_csv(spark, sf):
+    """The timing CSV of each (w, lambda)'s first session, written and read back."""
+    runs = fx.runs_from_events(fx.read_table(spark, sf, "events")).filter("session = 0")
+    path = _scratch(spark, "timing-csv")
+    sinks.write_csv(runtime.runs_wide(runs), path, sinks.TIMING_COLUMNS)
+    columns = ", ".join(f"`{c}` double" for c in sinks.TIMING_COLUMNS[2:])
+    return spark.read.schema(f"w int, `lambda` string, {columns}").option("header", True).csv(path)
+
+
+def q_sketch_lines(spark, sf):
+    """The line export of sketches, written and read back (short documents: empty sketches)."""
+    docs = _spread(_docs(spark, sf), "doc_id").select(F.col("doc_id").cast("string").alias("page"), F.lit(0).alias("version"), "text")
+    path = _scratch(spark, "sketch-lines")
+    sinks.export_sketch_lines(sketch(shingle(docs, (25,)), ("8", "16")), path)
+    return sinks.import_sketch_lines(spark, path).select(
+        "page", "w", F.col("lambda").cast("string").alias("lambda"), F.size("sketch").alias("n_sketch"),
+        F.md5(F.array_join("sketch", ",")).alias("sketch_md5"))
+
+
+def q_page_listing(spark, sf):
+    return revisions.page_listing(fx.editions(_docs(spark, sf)))
+
+
+def q_grid_axes(spark, sf):
+    ws, lams = runtime.grid_axes(fx.runs_from_events(fx.read_table(spark, sf, "events")))
+    return ws.select(F.lit("w").alias("axis"), F.col("w").cast("string").alias("value")).unionByName(
+        lams.select(F.lit("lambda").alias("axis"), F.col("lambda").alias("value")))
+
+
+def q_page_key_split(spark, sf):
+    """City and state of page keys; a key that does not split in two has neither."""
+    docs = _docs(spark, sf).select("doc_id", F.concat_ws("_", F.try_element_at(tokenize("text"), F.lit(1)), F.upper("lang")).alias("key"))
+    return docs.select("doc_id", "key", *revisions.split_page_key("key"))
+
+
+def q_revision_corpus(spark, sf):
+    """The events log as revisions with rendered HTML, to sampled texts, written and read back."""
+    events = fx.read_table(spark, sf, "events")
+    rendered = events.select(F.col("event_id").alias("revid"), F.concat(
+        F.lit('<div class="mw-parser-output"><h2>'), F.col("event_type"), F.lit("</h2><table><tr><td>no</td></tr></table><ul><li>"),
+        F.col("user_id").cast("string"), F.lit("</li></ul></div>")).alias("html"))
+    path = _scratch(spark, "versions")
+    sinks.write_versions(jobs.revision_corpus(fx.event_revisions(events), rendered, 3, compare.MAX_BACK), path)
+    return spark.read.parquet(path)
+
+
 def queries() -> dict[str, Query]:
     return {
+        "similarity_csv": q_similarity_csv,
+        "similarity_table": q_similarity_table,
+        "summary_csv": q_summary_csv,
+        "timing_csv": q_timing_csv,
+        "sketch_lines": q_sketch_lines,
+        "page_listing": q_page_listing,
+        "grid_axes": q_grid_axes,
+        "page_key_split": q_page_key_split,
+        "revision_corpus": q_revision_corpus,
         "tokenize_docs": q_tokenize_docs,
         "shingle_hash_w2": q_shingle_hash_w2,
         "shingles_sorted": q_shingles_sorted,
@@ -261,9 +357,14 @@ f1 AS (
   FROM f1_tok CROSS JOIN (SELECT unnest([{_CHAIN_VERSIONS}]) AS v) vs)"""
 
 _TARGET = "version % 3 = 0 AND version <> 0 AND version <= 147"
+# Dump file-name pattern.
 _DUMP_RE = r"^(.+?)_(\w{2})_C-(\d+)\.txt$"
 
 
+#: Python's white space, as a DuckDB string.
+_SPACES = " || ".join(f"chr({c})" for c in range(0x3001) if chr(c).isspace())
+
+
 def _sim_sql(src: str, ws: tuple[int, ...]) -> str:
     """CTE ``sim`` (page, w, "lambda", k, version, intersection, union_size, jaccard)."""
     return f"""{shingle_ctes(src + "_needed", ["page", "version"], list(ws))},
@@ -322,14 +423,56 @@ def oracle_sql() -> dict[str, str]:
          CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS INTEGER) AS version
   FROM documents)"""
     runs = """runs AS (
-  SELECT w, "lambda", CAST(rn - 1 AS INTEGER) AS run, rn = 1 AS is_warmup, seconds FROM (
-    SELECT w, "lambda", seconds, row_number() OVER (PARTITION BY w, "lambda" ORDER BY event_id) AS rn
+  SELECT w, "lambda", CAST(rn // 4 AS INTEGER) AS session, CAST(rn % 4 AS INTEGER) AS run, rn % 4 = 0 AS is_warmup, seconds FROM (
+    SELECT w, "lambda", seconds, row_number() OVER (PARTITION BY w, "lambda" ORDER BY event_id) - 1 AS rn
     FROM (SELECT CASE WHEN event_id % 2 = 0 THEN 25 ELSE 50 END AS w,
                  CASE event_type WHEN 'click' THEN '8' WHEN 'view' THEN '16' WHEN 'purchase' THEN '32'
                       WHEN 'signup' THEN '64' WHEN 'error' THEN 'inf' END AS "lambda",
-                 event_id, value AS seconds FROM events))
-  WHERE rn <= 4)"""
+                 event_id, value AS seconds FROM events)))"""
+    f2_sim = f"""WITH {f2_upto},
+f2_needed AS (SELECT page, version, text FROM f2 WHERE version = 0 OR ({_TARGET})),
+{_sim_sql("f2", (2,))}"""
+    pieces = "array_to_string(list_filter(list_transform(regexp_split_to_array({}, '<[^>]*>'), " \
+             "lambda s: trim(replace(replace(s, '&quot;', '\"'), '&amp;', '&'), " + _SPACES + ")), lambda s: s <> ''), ' ')"
     return {
+        "html_to_text": f"""
+WITH p AS (SELECT page_id, regexp_extract(html, '(?s)<article><h1>(.*?)</h1>', 1) AS h,
+                  regexp_extract(html, '(?s)</h1>(.*)</article>', 1) AS b FROM pages),
+-- the first paragraph is never closed, so all that follows the heading is one block
+t AS (SELECT page_id, regexp_replace({pieces.format("h")} || chr(10) || chr(10) || {pieces.format("b")}, '[ \t]{{2,}}', ' ', 'g') AS text FROM p)
+SELECT page_id, CAST(length(text) AS INTEGER) AS n_chars, md5(text) AS text_md5, text FROM t""",
+        "similarity_csv": f"""{f2_sim}
+SELECT page AS city, w, "lambda", version, CAST(printf('%.6f', jaccard) AS DOUBLE) AS jaccard FROM sim""",
+        "similarity_table": f"""{f2_sim}
+SELECT page, w, "lambda", version, intersection, union_size, printf('%.6f', jaccard) AS jaccard_6dp FROM sim""",
+        "summary_csv": f"""{f2_sim},
+{_MAE}
+SELECT w, "lambda", mae_vs_infty FROM mae UNION ALL
+SELECT 3, unnest(['8', '16', '32', '64']), NULL""",
+        "timing_csv": f"""WITH {runs}
+SELECT CAST(w AS INTEGER) AS w, CASE WHEN "lambda" = 'inf' THEN '∞' ELSE "lambda" END AS "lambda",
+       max(seconds) FILTER (WHERE run = 1) AS run1, max(seconds) FILTER (WHERE run = 2) AS run2,
+       max(seconds) FILTER (WHERE run = 3) AS run3,
+       round(avg(seconds), 9) AS mean, round(stddev_pop(seconds), 9) AS std, min(seconds) AS "min", max(seconds) AS "max"
+FROM runs WHERE session = 0 AND NOT is_warmup GROUP BY w, "lambda" """,
+        "sketch_lines": f"""WITH {shingle_ctes("documents", ["doc_id"], [25])},
+grid AS (SELECT * FROM (VALUES ('8', 8), ('16', 16)) g("lambda", k))
+SELECT CAST(doc_id AS VARCHAR) AS page, CAST(w AS INTEGER) AS w, "lambda",
+       CAST(len(shingles[1:k]) AS INTEGER) AS n_sketch, md5(array_to_string(shingles[1:k], ',')) AS sketch_md5
+FROM sh_list CROSS JOIN grid""",
+        "page_listing": f"""WITH {editions} SELECT DISTINCT page FROM ed""",
+        "grid_axes": f"""WITH {runs}
+SELECT DISTINCT 'w' AS axis, CAST(w AS VARCHAR) AS "value" FROM runs
+UNION ALL SELECT DISTINCT 'lambda', "lambda" FROM runs WHERE "lambda" <> 'inf'""",
+        "page_key_split": f"""
+SELECT doc_id, "key", CASE WHEN len(p) = 2 THEN p[1] END AS city, CASE WHEN len(p) = 2 THEN p[2] END AS state
+FROM (SELECT doc_id, "key", string_split("key", '_') AS p FROM (
+  SELECT doc_id, concat_ws('_', t[1], upper(lang)) AS "key" FROM (SELECT doc_id, lang, {tokens_expr()} AS t FROM documents)))""",
+        "revision_corpus": """
+SELECT page, CAST(rn - 1 AS INTEGER) AS version, event_type || chr(10) || chr(10) || '- ' || page AS text FROM (
+  SELECT CAST(user_id AS VARCHAR) AS page, event_type,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+WHERE rn <= 148 AND (rn - 1) % 3 = 0""",
         "tokenize_docs": f"""
 SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens, t[1] AS first_token, t[-1] AS last_token
 FROM (SELECT doc_id, {tokens_expr()} AS t FROM documents)""",
@@ -406,8 +549,9 @@ SELECT page, CASE WHEN NOT hb THEN 'missing version 0' ELSE 'no target versions'
 FROM pp WHERE NOT hb OR NOT ht""",
         "missing_sketches": f"""WITH {_F1},
 f1n AS (SELECT page, version FROM f1 WHERE version = 0 OR ({_TARGET}))
-SELECT page, version, CAST(w AS INTEGER) AS w, "lambda"
-FROM f1n CROSS JOIN (SELECT unnest([25, 50]) AS w) ws CROSS JOIN (SELECT '128' AS "lambda") l""",
+SELECT page, version, 25 AS w, "lambda"
+FROM f1n CROSS JOIN (SELECT unnest(['8', '16', '32']) AS "lambda") l
+WHERE "lambda" = '32' OR page LIKE '%7' OR (version = 63 AND "lambda" = '16')""",
         "page_version_jaccard_w2": f"""WITH {f2_upto},
 f2_needed AS (SELECT page, version, text FROM f2 WHERE version = 0 OR ({_TARGET})),
 {_sim_sql("f2", (2,))}
@@ -473,11 +617,11 @@ SELECT name,
        CAST(CASE WHEN ok THEN len(string_split(regexp_extract(name, '{_DUMP_RE}', 1) || '_' || regexp_extract(name, '{_DUMP_RE}', 2), '_')) END AS INTEGER) AS key_parts
 FROM p""",
         "runtime_runs_wide": f"""WITH {runs}
-SELECT w, CASE WHEN "lambda" = 'inf' THEN '∞' ELSE "lambda" END AS "lambda",
+SELECT w, CASE WHEN "lambda" = 'inf' THEN '∞' ELSE "lambda" END AS "lambda", session,
        max(seconds) FILTER (WHERE run = 1) AS run1,
        max(seconds) FILTER (WHERE run = 2) AS run2,
        max(seconds) FILTER (WHERE run = 3) AS run3,
        round(avg(seconds), 9) AS mean, round(stddev_pop(seconds), 9) AS std, min(seconds) AS "min", max(seconds) AS "max"
-FROM runs WHERE NOT is_warmup GROUP BY w, "lambda"
+FROM runs WHERE NOT is_warmup GROUP BY w, "lambda", session
 """,
     }

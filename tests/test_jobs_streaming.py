@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from revdrift.plans import jobs
@@ -33,6 +35,45 @@ def test_similarity_from_sketch_table(spark, scratch):
     assert sorted(a.collect()) == sorted(b.collect())
 
 
+def test_similarity_from_sketches_names_what_is_missing(spark, scratch):
+    table = jobs.materialize_sketches(spark, _versions(spark), os.path.join(scratch, "sk"), ws=[2], lambdas=["1", "2"])
+    want = jobs.similarity(_versions(spark), [2], ["1", "2"]).select("page", "w", "lambda", "version", "jaccard")
+    got = jobs.similarity_from_sketches(table, ["1", "2"]).select("page", "w", "lambda", "version", "jaccard")
+    assert sorted(got.collect()) == sorted(want.collect())
+    with pytest.raises(RuntimeError, match="'lambda': 'inf'"):
+        jobs.similarity_from_sketches(table, ["1", "inf"])
+    less = table.filter(~((F.col("version") == 3) & (F.col("lambda") == "2")))
+    with pytest.raises(RuntimeError, match="'version': 3"):
+        jobs.similarity_from_sketches(less, ["1", "2"], catalog=_versions(spark))
+    with pytest.raises(RuntimeError):
+        jobs.similarity_from_sketches(table.limit(0), ["1"])
+
+
+def test_repeated_versions_count_once(spark):
+    twice = _versions(spark).unionByName(_versions(spark))
+    assert sorted(jobs.similarity(twice, [2], ["1", "inf"]).collect()) == sorted(jobs.similarity(_versions(spark), [2], ["1", "inf"]).collect())
+
+
+def test_similarity_read_through_computes_only_absent_cells(spark, scratch, monkeypatch):
+    asked, compute = [], jobs.similarity
+    monkeypatch.setattr(jobs, "similarity", lambda v, ws, lams: asked.append((ws, lams)) or compute(v, ws, lams))
+    path = os.path.join(scratch, "sim")
+    jobs.materialize_similarity(spark, _versions(spark), path, [2], ["1", "inf"])
+    both = jobs.materialize_similarity(spark, _versions(spark), path, [2, 3], ["1", "inf"])
+    cols = ["page", "w", "lambda", "version", "jaccard_6dp"]
+    assert sorted(both.select(cols).collect()) == sorted(compute(_versions(spark), [2, 3], ["1", "inf"]).select(cols).collect())
+    jobs.materialize_similarity(spark, _versions(spark), path, [3], ["1"], refresh=True)
+    assert asked == [([2], ["1", "inf"]), ([3], ["1", "inf"]), ([3], ["1"])]
+
+
+def test_revision_without_html_is_an_error(spark):
+    import datetime as dt
+    revs = spark.createDataFrame([("P_XX", i, dt.datetime(2024, 1, 1 + i)) for i in range(7)], "page string, revid long, timestamp timestamp")
+    html = spark.createDataFrame([(6, "<p>x</p>"), (3, None), (0, "<p>y</p>")], "revid long, html string")
+    with pytest.raises(RuntimeError, match="revision 3 of P_XX"):
+        jobs.revision_corpus(revs, html, 3, 6)
+
+
 def test_revision_corpus(spark):
     import datetime as dt
     t0 = dt.datetime(2024, 1, 1)

@@ -2,6 +2,8 @@
 
 import math
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from revdrift.operators import report, revisions, runtime
@@ -54,16 +56,41 @@ def test_concat_versions_separator(spark):
     assert r.n_parts == 2
 
 
-def test_rank_within_matches_window_on_a_hot_group(spark):
+@pytest.mark.parametrize("reuse", ["true", "false"])
+@pytest.mark.parametrize("descending", [False, True])
+def test_rank_within_matches_window_on_a_hot_group(spark, reuse, descending):
+    """A million rows with a payload, most in one group, ties and nulls in the first order column."""
     from pyspark.sql import Window
     from revdrift.operators.ranking import rank_within
-    df = spark.range(0, 20000).select(
-        F.when(F.col("id") % 10 < 7, F.lit("hot")).otherwise((F.col("id") % 10).cast("string")).alias("g"),
-        (F.col("id") * 7919 % 20011).alias("k"))
-    got = rank_within(df, "g", ["k"], partitions=16)
-    exp = df.withColumn("rank", (F.row_number().over(Window.partitionBy("g").orderBy("k")) - 1).cast("int"))
-    assert got.select("g", "k", "rank").exceptAll(exp.select("g", "k", "rank")).count() == 0
-    assert got.count() == 20000
+    k = F.col("id") * 7919 % 2_000_003
+    df = spark.range(0, 1_000_000, 1, 37).select(
+        F.when(F.col("id") % 10 < 7, F.lit("hot")).when(F.col("id") % 10 == 9, F.lit(None)).otherwise((F.col("id") % 10).cast("string")).alias("g"),
+        F.when(F.col("id") % 1000 != 5, F.floor(k / 3)).alias("k"), "id", F.sha1(F.col("id").cast("string")).alias("payload"))
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        by = [F.desc("k"), F.desc("id")] if descending else ["k", "id"]
+        exp = df.withColumn("rank", (F.row_number().over(Window.partitionBy("g").orderBy(*by)) - 1).cast("int"))
+        for _ in range(2):
+            got = rank_within(df, "g", ["k", "id"], descending=descending, buckets=16)
+            wrong = got.select("id", "rank", "payload").join(exp.select("id", F.col("rank").alias("r")), "id").filter("rank = r")
+            assert wrong.count() == 1_000_000 == got.count()
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_mae_has_a_row_for_each_cell_of_the_grid(spark):
+    sim = spark.createDataFrame([("p", 25, "inf", 3, 0.5), ("p", 25, "8", 3, 0.25)],
+                                "page string, w int, lambda string, version int, jaccard double")
+    out = {(r.w, r["lambda"]): r for r in report.lambda_mae(sim, ["8", "16"], ws=[25, 50]).collect()}
+    assert set(out) == {(25, "8"), (25, "16"), (50, "8"), (50, "16")}
+    assert out[25, "8"].mae_vs_infty == 0.25
+    assert all(math.isnan(out[c].mae_vs_infty) and out[c].n_pairs == 0 for c in out if c != (25, "8"))
+
+
+def test_names_for_artifacts(spark):
+    from revdrift.functions.labels import safe_path_token
+    df = spark.createDataFrame([("a/b\\c d",)], "s string")
+    assert df.select(safe_path_token("s")).first()[0] == "a-b-c_d"
 
 
 def test_offsets_without_limit(spark):
