@@ -14,8 +14,7 @@ exactly, and only the links that join components leave a block.
 
 from __future__ import annotations
 
-import hashlib
-
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,12 +27,12 @@ SHINGLE = 5
 BANDS, ROWS = 32, 4
 #: Places of the circle.
 CIRCLE = 1 << 22
-#: Shingles of a block of a bucket.
-BLOCK = 1 << 19
+#: Shingles and members of a block of a bucket, about.
+BLOCK, MEMBERS = 1 << 18, 1024
 
 
 def _word(word: str) -> tuple[int]:
-    return (int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little"),)
+    return (xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")),)
 
 
 def _mix(x):
@@ -98,14 +97,28 @@ def signatures(of, h, n: int):
     windows = _ranks()
     place = (_mix(h ^ np.uint64(0x5DEECE66D)) >> np.uint64(64 - 22)).astype(np.int64)
     least = np.full((n, BANDS * ROWS), np.iinfo(np.uint32).max, dtype=np.uint32)
-    for at in range(0, len(place), 8192):
-        part, own = windows[place[at:at + 8192]], of[at:at + 8192]
-        first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-        docs = own[first]
-        least[docs] = np.minimum(least[docs], np.minimum.reduceat(part, first, axis=0))
+    for at in range(0, len(place), 4096):
+        part, own = windows[place[at:at + 4096]], of[at:at + 4096]
+        edge = np.append(np.flatnonzero(np.append(True, own[1:] != own[:-1])), len(own))
+        for i, j in zip(edge[:-1].tolist(), edge[1:].tolist()):
+            np.minimum(least[own[i]], part[i:j].min(axis=0), out=least[own[i]])
     return least
 
 
+def distinct(of, h, n: int):
+    """(numbers, how many of each document) of the distinct shingles, sorted in each document."""
+    import numpy as np
+
+    edge = np.append(np.searchsorted(of, np.arange(n)), len(of))
+    size, parts = np.zeros(n, dtype=np.int64), []
+    for d, (i, j) in enumerate(zip(edge[:-1].tolist(), edge[1:].tolist())):
+        if j > i:
+            x = np.sort(h[i:j])
+            parts.append(x[np.append(True, x[1:] != x[:-1])])
+            size[d] = len(parts[-1])
+    return np.concatenate([np.empty(0, np.uint64), *parts]), size
+
+
 def _signed(batches):
     """[doc_id, text] -> [doc_id, words (128-bit hash), n_shingles, bands]."""
     import numpy as np
@@ -120,9 +133,7 @@ def _signed(batches):
             full = np.flatnonzero(count > 0)
             sums = [np.add.reduceat(_mix(w + _mix(place + np.uint64(s))), begins[full], dtype=np.uint64) if len(full) else
                     np.empty(0, np.uint64) for s in (1 << 40, 1 << 41)]
-            order = np.lexsort((h, of))
-            fresh = np.append(True, (of[order][1:] != of[order][:-1]) | (h[order][1:] != h[order][:-1])) if len(h) else np.empty(0, bool)
-            size = np.bincount(of[order][fresh], minlength=n)
+            _, size = distinct(of, h, n)
             least = signatures(of, h, n)[full].astype(np.uint64).reshape(len(full), ROWS, BANDS)
             bands = _mix((least * by[None, :, None]).sum(axis=1, dtype=np.uint64) + salt[None, :])
             words = [None] * n
@@ -130,7 +141,7 @@ def _signed(batches):
                 words[d] = int(sums[0][k]).to_bytes(8, "big") + int(sums[1][k]).to_bytes(8, "big")
             offsets = np.append(0, np.cumsum(np.where(count > 0, BANDS, 0))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).slice(row, n), pa.array(words, pa.binary()), pa.array(size.astype(np.int64)),
+                [b.column(0).slice(row, n), pa.array(words, pa.binary()), pa.array(size),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands.reshape(-1).view(np.int64)))],
                 names=["doc_id", "words", "n_shingles", "bands"])
 
@@ -142,13 +153,9 @@ def _sets(batches):
 
     for b in batches:
         for row, _, _, of, h, n in shingles(b.column(1)):
-            order = np.lexsort((h, of))
-            of, h = of[order], h[order]
-            fresh = np.append(True, (of[1:] != of[:-1]) | (h[1:] != h[:-1])) if len(h) else np.empty(0, bool)
-            of, h = of[fresh], h[fresh]
-            size = np.bincount(of, minlength=n)
+            h, size = distinct(of, h, n)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).slice(row, n), pa.array(size.astype(np.int64)),
+                [b.column(0).slice(row, n), pa.array(size),
                  pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)), pa.array(h.view(np.int64)))],
                 names=["node", "n", "shingles"])
 
@@ -171,14 +178,12 @@ def _joining_links(percent: int):
         order = np.argsort(column, kind="stable")
         of, column = of[order], column[order]
         both = np.zeros((len(node), len(node)), dtype=np.float32)
-        step = max(256, (1 << 22) // max(1, len(node)))
+        step = max(256, (1 << 21) // max(1, len(node)))
         for at in range(0, int(column[-1]) + 1 if len(column) else 0, step):
             i, j = np.searchsorted(column, [at, at + step])
             x = np.zeros((len(node), step), dtype=np.float32)
             x[of[i:j], column[i:j] - at] = 1
-            both += x @ x.T
-        union = size[:, None] + size[None, :] - both
-        close = np.triu((100 * both >= percent * union) & (comp[:, None] != comp[None, :]), 1)
+            both += x @ x.T  # exact: counts below 2**24
         parent = {c: c for c in comp.tolist()}
 
         def top(c):
@@ -186,12 +191,15 @@ def _joining_links(percent: int):
                 parent[c] = c = parent[parent[c]]
             return c
         a, b = [], []
-        for i, j in zip(*np.nonzero(close)):
-            x, y = top(int(comp[i])), top(int(comp[j]))
-            if x != y:
-                parent[max(x, y)] = min(x, y)
-                a.append(int(node[i]))
-                b.append(int(node[j]))
+        for at in range(0, len(node), 256):
+            close = (100 + percent) * both[at:at + 256].astype(np.int64) >= percent * (size[at:at + 256, None] + size[None, :])
+            close &= comp[at:at + 256, None] != comp[None, :]
+            for i, j in zip(*np.nonzero(close)):
+                x, y = top(int(comp[at + i])), top(int(comp[j]))
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+                    a.append(int(node[at + i]))
+                    b.append(int(node[j]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
     return run
 
@@ -240,7 +248,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .filter("least != most"))
     once = Window.partitionBy("size", "weight", "digest").orderBy("band")  # buckets of the same members count once
     open_ = mixed.withColumn("k", F.row_number().over(once)).filter("k = 1").select(
-        "band", F.ceil(F.col("weight") / BLOCK).cast("int").alias("blocks"))
+        "band", F.ceil(F.greatest(F.col("weight") / BLOCK, F.col("size") / MEMBERS)).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     blocks = (now.join(open_, "band").select("band", "node", "component", own.alias("own"), other.alias("other"))
