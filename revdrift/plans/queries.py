@@ -262,12 +262,12 @@ def q_summary_csv(spark, sf):
 
 
 def q_timing_csv(spark, sf):
-    """The timing CSV of each (w, lambda)'s first session, written and read back."""
-    runs = fx.runs_from_events(fx.read_table(spark, sf, "events")).filter("session = 0")
+    """The timing CSV of all sessions, written and read back."""
+    runs = fx.runs_from_events(fx.read_table(spark, sf, "events"))
     path = _scratch(spark, "timing-csv")
-    sinks.write_csv(runtime.runs_wide(runs), path, sinks.TIMING_COLUMNS)
+    sinks.write_csv(runtime.runs_wide(runs, keys=("w", "lambda", "session")), path, ("session", *sinks.TIMING_COLUMNS))
     columns = ", ".join(f"`{c}` double" for c in sinks.TIMING_COLUMNS[2:])
-    return spark.read.schema(f"w int, `lambda` string, {columns}").option("header", True).csv(path)
+    return spark.read.schema(f"session int, w int, `lambda` string, {columns}").option("header", True).csv(path)
 
 
 def q_sketch_lines(spark, sf):
@@ -450,11 +450,11 @@ SELECT page, w, "lambda", version, intersection, union_size, printf('%.6f', jacc
 SELECT w, "lambda", mae_vs_infty FROM mae UNION ALL
 SELECT 3, unnest(['8', '16', '32', '64']), NULL""",
         "timing_csv": f"""WITH {runs}
-SELECT CAST(w AS INTEGER) AS w, CASE WHEN "lambda" = 'inf' THEN '∞' ELSE "lambda" END AS "lambda",
+SELECT session, CAST(w AS INTEGER) AS w, CASE WHEN "lambda" = 'inf' THEN '∞' ELSE "lambda" END AS "lambda",
        max(seconds) FILTER (WHERE run = 1) AS run1, max(seconds) FILTER (WHERE run = 2) AS run2,
        max(seconds) FILTER (WHERE run = 3) AS run3,
        round(avg(seconds), 9) AS mean, round(stddev_pop(seconds), 9) AS std, min(seconds) AS "min", max(seconds) AS "max"
-FROM runs WHERE session = 0 AND NOT is_warmup GROUP BY w, "lambda" """,
+FROM runs WHERE NOT is_warmup GROUP BY w, "lambda", session""",
         "sketch_lines": f"""WITH {shingle_ctes("documents", ["doc_id"], [25])},
 grid AS (SELECT * FROM (VALUES ('8', 8), ('16', 16)) g("lambda", k))
 SELECT CAST(doc_id AS VARCHAR) AS page, CAST(w AS INTEGER) AS w, "lambda",
