@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
+#: Objects that a Python worker keeps.
+KEPT = 2
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -37,12 +40,15 @@ def partitions(spark: SparkSession) -> int:
 
 def per_worker(key: Any, build: Callable[[], Any]) -> Any:
     """One object for each Python worker process, kept from task to task
-    (tokenizers, lookup tables, bounded caches)."""
+    (tokenizers, lookup tables, bounded caches).  Workers outlive a stage, so
+    only the last few are kept."""
     store = sys.modules.setdefault("_revdrift_worker", types.ModuleType("_revdrift_worker"))
     kept = store.__dict__.setdefault("kept", {})
-    if key not in kept:
-        kept[key] = build()
-    return kept[key]
+    got = kept.pop(key) if key in kept else build()
+    kept[key] = got
+    while len(kept) > KEPT:
+        del kept[next(iter(kept))]
+    return got
 
 
 def crc32_of_id(col: str = "doc_id") -> Column:

@@ -64,15 +64,16 @@ def _vectors(codes):
 def _groups(batches, columns: int):
     """Lists of rows' columns, cut so that a group's characters stay bounded."""
     for b in batches:
-        held, chars = [], 0
-        for row in zip(*(b.column(i).to_pylist() for i in range(columns))):
-            held.append(row)
-            chars += len(row[1] or "")
-            if len(held) >= GROUP or chars >= GROUP_CHARS:
+        for at in range(0, len(b), GROUP):
+            held, chars = [], 0
+            for row in zip(*(b.column(i).slice(at, GROUP).to_pylist() for i in range(columns))):
+                held.append(row)
+                chars += len(row[1] or "")
+                if chars >= GROUP_CHARS:
+                    yield list(zip(*held))
+                    held, chars = [], 0
+            if held:
                 yield list(zip(*held))
-                held, chars = [], 0
-        if held:
-            yield list(zip(*held))
 
 
 def _sums(batches):

@@ -7,7 +7,7 @@ import zlib
 from collections.abc import Callable
 
 #: Bytes of text (or one longer text) whose words are looked up together.
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 4 << 20
 
 _RUNS = re.compile("A+|a+|0+|(.)\\1+", re.S)
 
@@ -47,13 +47,13 @@ def slices(texts, make: Callable[[str], tuple[int, ...]], width: int, ascii_only
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    texts = pc.cast(pc.fill_null(texts, ""), pa.large_string())
-    size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) if len(texts) else np.empty(0)
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     row = 0
     while row < len(texts):
         before = size[row - 1] if row else 0
         end = max(row + 1, int(np.searchsorted(size, before + SLICE_BYTES, side="right")))
-        part = texts.slice(row, end - row)
+        # taken, not sliced: ascii_lower() misreads an array whose bytes do not begin at 0
+        part = pc.cast(pc.fill_null(texts.take(pa.array(np.arange(row, end))), ""), pa.large_string())
         split = pc.ascii_split_whitespace(pc.ascii_lower(part)) if ascii_only else pc.utf8_split_whitespace(part)
         at = split.offsets.to_numpy().astype(np.int64)
         flat = split.values.slice(at[0], at[-1] - at[0])

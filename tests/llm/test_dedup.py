@@ -84,6 +84,22 @@ def test_circulant_signatures_estimate_similarity():
         assert whole[0][k] == ranks[(place + k) % N.CIRCLE].min()
 
 
+def test_shingles_do_not_depend_on_batches(monkeypatch):
+    import pyarrow as pa
+
+    from revdrift.llm import wordgrams
+
+    rng = np.random.default_rng(0)
+    texts = [" ".join(f"ABcdé{x}" for x in rng.integers(0, 50, size=rng.integers(0, 40))) if k % 7 else None for k in range(300)]
+
+    def run(array):
+        return [sorted(h[of == d].tolist()) for _, _, _, of, h, n in N.shingles(array) for d in range(n)]
+    whole = run(pa.array(texts))
+    monkeypatch.setattr(wordgrams, "SLICE_BYTES", 1000)
+    assert run(pa.array(texts)) == whole
+    assert run(pa.array(["é ZZ " * 50] * 13 + texts).slice(13)) == whole
+
+
 def test_components_of_a_path_and_a_star(spark):
     path = [(k, k + 1) for k in range(60)]
     star = [(100, k) for k in range(101, 150)] + [(100, 120), (120, 100)]
