@@ -15,13 +15,17 @@ import os
 from .common import per_worker
 
 #: Bytes of text (or one longer text) whose distinct blocks are encoded together.
-SLICE_BYTES = 24 << 20
+SLICE_BYTES = 12 << 20
 #: Ids (or those of one longer text) that are gathered together.
 GATHERED = 1 << 20
 #: Blocks that are joined into one text for the library.
 JOINED = 500
-#: White space as any of the engines sees it, then a space (RE2 syntax).
-LOOSE = r"[\s\p{Z}\x{85}\x{1c}-\x{1f}] "
+#: Blocks whose ids a worker keeps, about.
+KEPT_BLOCKS = 400_000
+#: White space as any of the engines sees it, at the end (RE2 syntax).
+WHITE_END = r"[\s\p{Z}\x{85}\x{1c}-\x{1f}]$"
+#: Texts that the library gets in one call.
+TOGETHER = 8
 
 
 class LibraryCoder:
@@ -39,18 +43,20 @@ class LibraryCoder:
         self.opens = np.zeros(max(vocab.values()) + 1, dtype=bool)  # ids whose text begins with a space
         for token, i in vocab.items():
             self.opens[i] = token.startswith("\u0120")
+        self.known = Known()
 
     def whole(self, texts: list[str]) -> list:
         import numpy as np
 
-        return [np.array(e.ids, dtype=np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(e.ids, dtype=np.uint32) for at in range(0, len(texts), TOGETHER)  # what the library returns is large
+                for e in self.tok.encode_batch_fast(texts[at:at + TOGETHER], add_special_tokens=False)]
 
     def behind_space(self, blocks: list[str]):
         """(ids, lengths) of blocks that each follow a space.  Those that end
         in no white space are joined: only their first tokens begin with a space."""
         import numpy as np
 
-        loose = [b == "" or b[-1].isspace() for b in blocks]
+        loose = [b[-1:].isspace() or not b for b in blocks]
         tight = [b for b, x in zip(blocks, loose) if not x]
         joined = self.whole([" " + " ".join(tight[i:i + JOINED]) for i in range(0, len(tight), JOINED)])
         ids = np.concatenate([np.empty(0, np.uint32), *joined])
@@ -70,6 +76,49 @@ def library_coder(path: str, special_as_text: bool = True) -> LibraryCoder:
     return per_worker(("library", path, special_as_text), lambda: LibraryCoder(path, special_as_text))
 
 
+class Known:
+    """Blocks whose ids are known, as arrays; the blocks of the last slice stay
+    when there are too many."""
+
+    def __init__(self):
+        import numpy as np
+        import pyarrow as pa
+
+        self.blocks, self.ids, self.lengths = pa.array([], pa.large_string()), np.empty(0, np.uint32), np.empty(0, np.int64)
+
+    def places(self, blocks, coder):
+        """Numbers of distinct blocks; those that are new are encoded and added."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        place = pc.index_in(blocks, value_set=self.blocks)
+        new = blocks.filter(place.is_null())
+        place = place.fill_null(-1).to_numpy().astype(np.int64)
+        place[place < 0] = len(self.blocks) + np.arange(len(new))
+        ids, lengths = coder.behind_space(new.to_pylist())
+        self.blocks = pa.concat_arrays([self.blocks, new])
+        self.ids, self.lengths = np.concatenate([self.ids, ids]), np.concatenate([self.lengths, lengths])
+        if len(self.blocks) > KEPT_BLOCKS:
+            self.blocks, self.ids, self.lengths = blocks, self.gathered(place), self.lengths[place]
+            place = np.arange(len(blocks))
+        return place
+
+    def gathered(self, which):
+        return gather(self.ids, self.lengths, which)
+
+
+def gather(ids, lengths, which):
+    """The runs of ``ids`` that ``which`` names, one after the other."""
+    import numpy as np
+
+    starts, n = np.cumsum(lengths) - lengths, lengths[which]
+    ends = np.cumsum(n)
+    at = np.arange(ends[-1] if len(ends) else 0, dtype=np.int64)
+    at += np.repeat(starts[which] - (ends - n), n)
+    return ids[at]
+
+
 def _encode(texts, coder):
     """Runs of rows of an Arrow array of texts without nulls, as (ids, offsets)."""
     import numpy as np
@@ -81,27 +130,39 @@ def _encode(texts, coder):
     flat = split.values.slice(at[0], at[-1] - at[0])
     at -= at[0]
     distinct = flat.dictionary_encode()
-    which = distinct.indices.to_numpy()
+    words, which = distinct.dictionary, distinct.indices.to_numpy()
     first = np.zeros(len(flat), dtype=bool)
     first[at[:-1]] = True
-    used = np.zeros(len(distinct.dictionary), dtype=bool)  # behind a space
+
+    # white space (as any engine sees it) before a space inside a text
+    empty = pc.equal(words, "").to_numpy(zero_copy_only=False)
+    white = pc.match_substring_regex(words, WHITE_END).to_numpy(zero_copy_only=False)
+    before = white[which] | empty[which] & ~first
+    before[at[1:] - 1] = False
+    loose = np.add.reduceat(before, at[:-1], dtype=np.int64) > 0
+    if loose.any():  # those whole, the others by blocks
+        mask, row = pa.array(loose), 0
+        whole = iter(coder.whole(texts.filter(mask).to_pylist()))
+        for ids, offsets in _encode(pc.if_else(mask, pa.scalar("", texts.type), texts), coder):
+            lists = [next(whole) if x else ids[i:j] for x, i, j in zip(loose[row:], offsets[:-1], offsets[1:])]
+            yield np.concatenate(lists), np.cumsum([0, *map(len, lists)])
+            row += len(lists)
+        return
+
+    used = np.zeros(len(words), dtype=bool)  # behind a space
     used[which[~first]] = True
-    ids, lengths = coder.behind_space(distinct.dictionary.filter(pa.array(used)).to_pylist())
+    known, place = coder.known, np.zeros(len(words), dtype=np.int64)
+    place[used] = known.places(words.filter(pa.array(used)), coder)
     heads = coder.whole(flat.filter(pa.array(first)).to_pylist())
-    which = (np.cumsum(used, dtype=np.int32) - 1)[which]
-    which[first] = len(lengths) + np.arange(len(heads))
-    lengths = np.concatenate([lengths, [len(h) for h in heads]]).astype(np.int32)
-    ids = np.concatenate([ids, *heads])
-    starts = np.cumsum(lengths, dtype=np.int64) - lengths
-    ends = np.concatenate([[0], np.cumsum(lengths[which], dtype=np.int64)])[at]  # of rows
+    which = place[which]
+    which[first] = len(known.lengths) + np.arange(len(heads))
+    lengths = np.concatenate([known.lengths, np.array([len(h) for h in heads], dtype=np.int64)])
+    ids = np.concatenate([known.ids, *heads])
+    ends = np.concatenate([[0], np.cumsum(lengths[which])])[at]  # of rows
     row = 0
     while row < len(texts):
         end = max(row + 1, int(np.searchsorted(ends, ends[row] + GATHERED, side="right")) - 1)
-        own = which[at[row]:at[end]]
-        n = lengths[own]
-        place = np.arange(ends[end] - ends[row], dtype=np.int64)
-        place += np.repeat(starts[own] - (np.cumsum(n, dtype=np.int64) - n), n)
-        yield ids[place], ends[row:end + 1] - ends[row]
+        yield gather(ids, lengths, which[at[row]:at[end]]), ends[row:end + 1] - ends[row]
         row = end
 
 
@@ -112,22 +173,12 @@ def encode_texts(texts, coder):
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    texts = pc.cast(pc.fill_null(texts, ""), pa.large_string())
-    size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) if len(texts) else np.empty(0)
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     row = 0
     while row < len(texts):
         before = size[row - 1] if row else 0
         end = max(row + 1, int(np.searchsorted(size, before + SLICE_BYTES, side="right")))
-        part = texts.slice(row, end - row)
-        loose = pc.match_substring_regex(part, LOOSE)
-        if pc.any(loose).as_py():  # those whole, the others by blocks
-            whole = iter(coder.whole(part.filter(loose).to_pylist()))
-            part = pc.if_else(loose, pa.scalar("", pa.large_string()), part)
+        part = pc.cast(pc.fill_null(texts.slice(row, end - row), ""), pa.large_string())
         for ids, offsets in _encode(part, coder):
-            n = len(offsets) - 1
-            if pc.any(loose.slice(0, n)).as_py():
-                lists = [next(whole) if x else ids[a:b]
-                         for x, a, b in zip(loose.slice(0, n).to_pylist(), offsets, offsets[1:])]
-                ids, offsets = np.concatenate(lists), np.cumsum([0, *map(len, lists)])
             yield row, ids, offsets
-            row, loose = row + n, loose.slice(n)
+            row += len(offsets) - 1

@@ -19,7 +19,7 @@ from itertools import chain
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import encode_texts
+from .blocks import Known, encode_texts
 from .common import per_worker
 
 #: Pieces after which the kept ids become the old generation, which goes when the next is full.
@@ -42,6 +42,7 @@ class PrefixBpe:
                 node = node.setdefault(x, {})
             node[-1] = token
         self.known: dict[int, bool] = {}  # may a token follow another, or begin
+        self.coders: dict[str, _Coder] = {}  # by splitting pattern
 
     def merged(self, data: bytes) -> list[int]:
         """The definition, for a few bytes: merge the neighbours of lowest rank."""
@@ -152,6 +153,7 @@ class _Coder:
         import regex
 
         self.bpe, self.find = bpe, regex.compile(pattern).findall
+        self.known = Known()
         self.young: dict[bytes, list[int]] = {}
         self.old: dict[bytes, list[int]] = {}
 
@@ -220,7 +222,10 @@ def encode_batches(ranks_path: str, pattern: str):
         import numpy as np
         import pyarrow as pa
 
-        coder = per_worker(("coder", ranks_path, pattern), lambda: _Coder(load(ranks_path), pattern))
+        bpe = load(ranks_path)
+        if pattern not in bpe.coders:
+            bpe.coders[pattern] = _Coder(bpe, pattern)
+        coder = bpe.coders[pattern]
         for b in batches:
             for row, ids, offsets in encode_texts(b.column(1), coder):
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32)))
@@ -233,10 +238,10 @@ def decode_batches(ranks_path: str):
     def run(batches) -> Iterator:
         import pyarrow as pa
 
-        table = per_worker(("decoder", ranks_path), lambda: [b for _, b in sorted(load(ranks_path).bytes_of.items())])
+        decode = load(ranks_path).decode
         for b in batches:
             ids = b.column("ids")
-            decoded = [b"".join(map(table.__getitem__, one.tolist())) for one in _rows(ids)]
+            decoded = [decode(one.tolist()) for one in _rows(ids)]
             yield b.append_column("decoded", pa.array(decoded, pa.binary()))
     return run
 
