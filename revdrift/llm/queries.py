@@ -97,6 +97,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        # all pairs that share a shingle, and the least id that links reach
+        "op1_near_dedup": r"""
+            WITH RECURSIVE w AS (
+                SELECT doc_id, list_filter(regexp_split_to_array(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS t FROM documents),
+            s AS (SELECT DISTINCT doc_id, array_to_string(t[i + 1:i + 5], ' ') AS h
+                  FROM w, LATERAL (SELECT unnest(range(greatest(len(t) - 4, 1))) AS i) WHERE len(t) > 0),
+            n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+            p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.h = b.h AND a.doc_id <> b.doc_id
+                  GROUP BY a.doc_id, b.doc_id),
+            l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 75 * (x.n + y.n - i)),
+            r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+            c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+            SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+            FROM documents d JOIN c ON c.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""",
         "op8_license_scan": license_scan.oracle_sql(),
         # the cosine of doubles; classes of links by the least id that spreads
         "op10_embedding_dedup": """
