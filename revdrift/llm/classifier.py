@@ -16,6 +16,15 @@ from .common import crc32_of_id
 MOST_ROWS = 12_000
 
 
+#: Rows that are scored and handed back together.
+ROWS = 1024
+
+
+def _parts(batches):
+    for b in batches:
+        yield from (b.slice(at, ROWS) for at in range(0, len(b), ROWS))
+
+
 @dataclass(frozen=True)
 class Classifier:
     """``features(texts)`` yields (first row, document of each feature,
@@ -89,7 +98,7 @@ class Classifier:
             import numpy as np
             import pyarrow as pa
 
-            for b in batches:
+            for b in _parts(batches):
                 score = scores(b.column(0))
                 yield (b.drop_columns(["__text"]).append_column("score", pa.array(score))
                        .append_column("predicted", pa.array((score >= 0.5).astype(np.int32))))
@@ -103,7 +112,7 @@ class Classifier:
             import pyarrow as pa
             import pyarrow.compute as pc
 
-            for b in batches:
+            for b in _parts(batches):
                 yield b.filter(pa.array((scores(pc.cast(b.column(at), pa.string())) >= 0.5) == bool(label)))
         return docs.mapInArrow(run, docs.schema)
 
