@@ -75,6 +75,7 @@ def buckets(unit):
                 other = (order[:, p - 1] == k) if 0 < p <= TURNS else np.zeros(m, dtype=bool)
                 key = key * (2 * n) + np.where(other, second[k], best[k])
             out[:, t, p] = key
+    out.sort(axis=2)  # one order of a table's buckets for all vectors
     return out.reshape(m, -1)
 
 
@@ -121,7 +122,8 @@ def _hashed(batches):
 
 
 def _first_common(one, two, place):
-    """Is the bucket at ``place`` among one's the first that both have?"""
+    """Is the bucket at ``place`` among one's the first that both have?  As all
+    vectors order a table's buckets alike, a pair has one first bucket."""
     import numpy as np
 
     first = np.ones(len(one), dtype=bool)
