@@ -29,7 +29,14 @@ HEADLINE = (
     "concat_versions",
     "runtime_summary",
     "api_json_ingest",          # landed revision JSON -> offsets
-    "html_to_text",             # rendered HTML -> article text (Arrow UDF)
+    "html_to_text",             # rendered HTML -> article text
+    "sketch_top_lambda",        # long form by chunks
+    "corpus_catalog",           # ranks over whole histories
+    "skipped_pages",
+    "missing_sketches",         # a stored sketch table against what it should hold
+    "similarity_table",         # read-through similarity table
+    "revision_corpus",          # revisions + HTML -> texts
+    "timing_csv",
 )
 
 
