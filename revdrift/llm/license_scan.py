@@ -1,11 +1,11 @@
 """License scans in DataFrame functions: MinHash bands over overlapping windows.
 
-Words are lower-cased runs of letters and digits, shingles are five of them.  A
-template of t shingles (the whole text is one if it has fewer words) is sought
-in windows of s shingles that begin every s / 2, where s is the least power of
-two that is at least 2 t: every place of the template lies whole in a window,
-and a window that holds 0.75 of it has a Jaccard similarity of 0.17 or more
-with it.  Window and template meet if they agree in one of 64 bands of one
+Words are lower-cased runs of letters and digits, shingles are five of them; a
+template of fewer words is one shingle, and is sought among shingles of as many
+words.  A template of t shingles is sought in windows of s shingles that begin
+every s / 2, where s is the least power of two that is at least 2 t: every place
+of the template lies whole in a window, and a window that holds 0.75 of it has a
+Jaccard similarity of 0.17 or more with it.  Window and template meet if they agree in one of 64 bands of one
 MinHash each, which such a pair misses with probability 0.83**64 = 6e-6.  Exact
 containment of the template's shingles in the window then decides.
 
@@ -52,16 +52,14 @@ def words(text: Column | str) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
-def _shingle(at, i) -> Column:
-    """Hash of the words at i, i + 1, ...; those beyond the end are null and add nothing."""
-    return F.xxhash64(*[F.get(at, i + k) for k in range(SHINGLE)])
+def _shingle(at, i, width) -> Column:
+    """Hash of ``width`` words (``SHINGLE`` at most) from i on; what is null adds nothing."""
+    return F.xxhash64(*[F.when(width > k, F.get(at, i + k)) for k in range(SHINGLE)])
 
 
-def _shingles(at: str) -> Column:
-    """Distinct shingle hashes of an array of words."""
-    last = F.greatest(F.size(at) - SHINGLE, F.lit(0))
-    return F.when(F.size(at) > 0, F.array_distinct(F.transform(F.sequence(F.lit(0), last), lambda i: _shingle(F.col(at), i)))).otherwise(
-        F.array().cast("array<long>"))
+def _shingles(at: str, width: str) -> Column:
+    """Distinct shingle hashes of an array of at least ``width`` words."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(at) - F.col(width)), lambda i: _shingle(F.col(at), i, F.col(width))))
 
 
 def _bands(shingles: str) -> Column:
@@ -84,24 +82,25 @@ def license_scan(docs: DataFrame, templates: DataFrame, id_col: str = "doc_id",
     it is broadcast.
     """
     t = (templates.select("template", words("text").alias("w")).filter(F.size("w") > 0)
-         .select("template", _shingles("w").alias("ts")).withColumn("n", F.size("ts"))
+         .withColumn("width", F.least(F.size("w"), F.lit(SHINGLE)))
+         .select("template", "width", _shingles("w", "width").alias("ts")).withColumn("n", F.size("ts"))
          .withColumn("span", F.pow(F.lit(2), F.ceil(F.log2(F.col("n") * 2.0))).cast("int")))
-    sought = t.select(F.explode("ts").alias("h"), "span").distinct()
+    sought = t.select(F.explode("ts").alias("h"), "span", "width").distinct()
 
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), words(text_col).alias("w"))
     places = (d.select("doc_id", "w", F.posexplode("w").alias("i", "first"))
-              .filter((F.col("i") <= F.size("w") - SHINGLE) | (F.col("i") == 0))
-              .withColumn("h", _shingle(F.col("w"), F.col("i")))
-              .join(F.broadcast(sought), "h"))
+              .join(F.broadcast(t.select("width").distinct()), F.col("i") + F.col("width") <= F.size("w"))
+              .withColumn("h", _shingle(F.col("w"), F.col("i"), F.col("width")))
+              .join(F.broadcast(sought), ["h", "width"]))
     half = (F.col("span") / 2).cast("int")
     last = F.floor(F.col("i") / half).cast("int")
-    windows = (places.select("doc_id", "w", "span", F.explode(F.sequence(F.greatest(last - 1, F.lit(0)), last)).alias("k"))
+    windows = (places.select("doc_id", "w", "span", "width", F.explode(F.sequence(F.greatest(last - 1, F.lit(0)), last)).alias("k"))
                .withColumn("word", F.col("k") * half)
-               .select("doc_id", "span", "word", F.slice("w", F.col("word") + 1, F.col("span") + SHINGLE - 1).alias("part"))
+               .select("doc_id", "span", "width", "word", F.slice("w", F.col("word") + 1, F.col("span") + F.col("width") - 1).alias("part"))
                .distinct()
-               .withColumn("ws", _shingles("part")))
-    met = (windows.select("doc_id", "span", "word", "ws", F.inline(_bands("ws")))
-           .join(F.broadcast(t.select("template", "ts", "n", "span", F.inline(_bands("ts")))), ["span", "band", "least"])
+               .withColumn("ws", _shingles("part", "width")))
+    met = (windows.select("doc_id", "span", "width", "word", "ws", F.inline(_bands("ws")))
+           .join(F.broadcast(t.select("template", "ts", "n", "span", "width", F.inline(_bands("ts")))), ["span", "width", "band", "least"])
            .select("doc_id", "template", "word", "n", F.size(F.array_intersect("ws", "ts")).alias("shared"))
            .filter(F.col("shared") * 100 >= F.col("n") * percent))
     best = met.groupBy("doc_id", "template").agg(F.max(F.struct("shared", (-F.col("word")).alias("back"), "n")).alias("b"))
