@@ -3,7 +3,9 @@
 A disguised word is a character lattice: a digit or sign may stand for letters
 (leetspeak), marks or spaces may stand between letters, and a letter may be
 repeated.  The Viterbi path of least cost under a character trigram model,
-counted over all documents, is the restored word.  The score is a logistic
+counted over all documents, is the restored word.  A run of spelt letters is one
+lattice, in which each space is left out or parts two words; there the corpus's
+common words have costs of their own.  The score is a logistic
 regression on the distinct words of the restored text and their beginnings.
 """
 
@@ -13,6 +15,8 @@ import math
 import re
 import unicodedata
 import zlib
+from bisect import bisect_left
+from operator import itemgetter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,21 +34,40 @@ SIGNS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb",
 #: Costs of the channel, in nats: a sign for a letter, the first and each
 #: further repeated letter left out, a mark left out, a sign left out.
 COST_SIGN, COST_REPEAT, COST_MORE, COST_MARK, COST_DROP = 1.0, 3.0, 0.2, 0.5, 12.0
-#: Words of a run of single letters that are read as one word.
+#: Costs of a space between spelt letters that parts words, and of a letter of
+#: a spelt run that is a word, at most (a corpus may lack 'I').
+COST_SPACE, COST_ALONE = 2.0, 3.0
+#: Letters of a run of single letters that are read as spelt words.
 SPELT = 3
+#: Common words, at most.
+MOST_WORDS = 50_000
 
 _ENDS = re.compile(r"^[^\w@$|+(€£¡]+|[^\w@$|+(€£¡]+$")
 _RUN_AT_END = re.compile(r"([@$|+(€£¡])\1\1+$")
 _THREE = re.compile(r"(.)\1\1", re.S)
 
 
+def is_spelt(run: list[str]) -> bool:
+    """Are these words of one character spelt words (marks may stand between the letters)?"""
+    return sum(w.isalpha() or w in SIGNS for w in run) >= SPELT
+
+
+def cheapest(states: dict) -> dict:
+    return dict(sorted(states.items(), key=lambda t: t[1][0])[:64])
+
+
 class Restorer:
     """Viterbi decoding under trigram costs (-log P(c | a, b), flat)."""
 
     def __init__(self, costs: bytes):
         import numpy as np
 
-        self.costs = np.frombuffer(costs, dtype=np.float32).tolist()
+        end = 4 * LETTERS ** 3
+        self.costs = np.frombuffer(costs[:end], dtype=np.float32).tolist()
+        common = [line.split(":") for line in costs[end:].decode().split()]
+        total = sum(int(n) for _, n in common)
+        self.common = {w: math.log(total / int(n)) for w, n in common}
+        self.sorted = sorted(self.common)
         self.letter = _tables()[0]
         self.known: dict[str, str] = {}
 
@@ -66,6 +89,11 @@ class Restorer:
             return core
         return self.decoded(core)
 
+    def begins(self, text: str) -> bool:
+        """Does a common word begin so?"""
+        at = bisect_left(self.sorted, text)
+        return at < len(self.sorted) and self.sorted[at].startswith(text)
+
     def decoded(self, raw: str) -> str:
         if raw not in self.known:
             if len(self.known) > 100_000:
@@ -74,38 +102,77 @@ class Restorer:
         return self.known[raw]
 
     def _viterbi(self, raw: str) -> str:
-        # a state is (letter before, last letter, are we leaving out a run); the paths keep their letters
-        best = {(0, 0, False): (0.0, "")}
+        # a state is (letter before, last letter, are we leaving out a run); a path is (path before, letter)
+        best = {(0, 0, False): (0.0, None)}
         costs, letter = self.costs, self.letter
-        for i, x in enumerate(raw):
-            repeats = i > 0 and raw[i - 1] == x
+        # in a spelt run: (beginning of a common word, are we leaving out a run) with the path before the word
+        walks: dict[tuple, tuple[float, object]] = {}
+        last, spelt = "", " " in raw
+
+        def ends():
+            for (a, b, _), (cost, text) in best.items():
+                end = costs[(a * LETTERS + b) * LETTERS]
+                yield cost + (min(end, COST_ALONE) if spelt and b and not a else end), text, bool(b)
+            for (word, _), (cost, text) in walks.items():
+                if word in self.common:
+                    yield cost + self.common[word], (text, word), True
+
+        for x in raw:
+            if x == " ":
+                cost, text, _ = min((e for e in ends() if e[2]), key=itemgetter(0), default=(math.inf, None, True))
+                if cost + COST_SPACE < best.get((0, 0, False), (math.inf,))[0]:
+                    best[0, 0, False] = (cost + COST_SPACE, (text, x))
+                continue
+            repeats, last = last == x, x
             options = [(x, 0.0)] if x.isalpha() else [(y, COST_SIGN) for y in SIGNS.get(x, "")]
             after: dict[tuple, tuple[float, str]] = {}
 
             def put(state, cost, text):
-                if state not in after or (cost, text) < after[state]:
+                if state not in after or cost < after[state][0]:
                     after[state] = (cost, text)
 
             for (a, b, out), (cost, text) in best.items():
                 for y, more in options:
                     c = int(letter[ord(y)]) if len(y) == 1 else 0
-                    put((b, c, False), cost + more + costs[(a * LETTERS + b) * LETTERS + c], text + y)
-                if repeats and (text or out):
+                    put((b, c, False), cost + more + costs[(a * LETTERS + b) * LETTERS + c], (text, y))
+                if repeats and b:
                     put((a, b, True), cost + (COST_MORE if out else COST_REPEAT), text)
                 if not x.isalpha():
                     put((a, b, out), cost + (COST_DROP if x in SIGNS or x.isalnum() else COST_MARK), text)
-            best = dict(sorted(after.items(), key=lambda t: t[1])[:64])  # beam over at most a few hundred states
-        ends = [(cost + costs[(a * LETTERS + b) * LETTERS], text) for (a, b, _), (cost, text) in best.items()]
-        return min(ends)[1]
+            if spelt:
+                if (0, 0, False) in best:
+                    walks["", False] = best[0, 0, False]
+                best, after = cheapest(after), {}
+                for (word, out), (cost, text) in walks.items():
+                    for y, more in options:
+                        if self.begins(word + y):
+                            put((word + y, False), cost + more, text)
+                    if repeats and word:
+                        put((word, True), cost + (COST_MORE if out else COST_REPEAT), text)
+                    if not x.isalpha() and word:
+                        put((word, out), cost + (COST_DROP if x in SIGNS or x.isalnum() else COST_MARK), text)
+                walks = after
+            else:
+                best = cheapest(after)
+        _, text, _ = min(ends(), key=itemgetter(0))
+        letters = []
+        while text:
+            text, y = text
+            letters.append(y)
+        return "".join(reversed(letters)).strip()
+
+    def alone(self, word: str) -> str:
+        """A word of one character that is not of a spelt run."""
+        return word if word.isalpha() or word in SIGNS else self.word(word)
 
     def text(self, text: str) -> str:
         """The restored words of a text, in lower case, with spelt words joined."""
         out, spelt = [], []
         for w in [*(text or "").split(), ""]:
-            if len(w) == 1 and (w.isalpha() or w in SIGNS):
+            if len(w) == 1:
                 spelt.append(w.lower())
                 continue
-            out += [self.decoded("".join(spelt))] if len(spelt) >= SPELT else spelt
+            out += [self.decoded(" ".join(spelt))] if is_spelt(spelt) else map(self.alone, spelt)
             spelt = []
             if w:
                 out.append(self.word(w))
@@ -126,9 +193,11 @@ def _counts(batches):
 
 
 def trigram_costs(docs: DataFrame, text_col: str = "text") -> bytes:
-    """-log P(c | a, b) of letters, float32, counted over all documents.
+    """-log P(c | a, b) of letters, float32, and behind them the common words
+    with their numbers, counted over all documents.
 
-    The driver gets a count for each trigram, ``LETTERS`` cubed at most."""
+    The driver gets a count for each trigram, ``LETTERS`` cubed at most, and the
+    ``MOST_WORDS`` commonest words."""
     import numpy as np
 
     rows = docs.select(F.lit(0).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -140,7 +209,13 @@ def trigram_costs(docs: DataFrame, text_col: str = "text") -> bytes:
     n[0, 0] = n[0].sum(axis=1)
     back = (n.sum(axis=0) + 0.1) / (n.sum(axis=0).sum(axis=1, keepdims=True) + 0.1 * LETTERS)
     p = (n + 2 * back[None]) / (n.sum(axis=2, keepdims=True) + 2)
-    return (-np.log(p)).astype(np.float32).tobytes()
+    costs = (-np.log(p)).astype(np.float32).tobytes()
+
+    word = F.explode(F.split(F.translate(F.lower(F.col(text_col).cast("string")), "\n\t\r", "   "), " ")).alias("w")
+    common = (docs.select(word).filter(r"length(w) > 1 AND w RLIKE '^\\p{L}+$'").groupBy("w").agg(F.count("*").alias("n"))
+              .orderBy(F.desc("n"), "w").limit(MOST_WORDS).collect())
+    lines = "".join(f"{w}:{k}\n" for w, k in common).encode()
+    return costs + lines.ljust((len(lines) + 3) // 4 * 4)
 
 
 def restore(docs: DataFrame, costs: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -170,8 +245,8 @@ def features_of(held, key):
         r = per_worker(("restorer", key), lambda: Restorer(held.value))
 
         def make(w):
-            single = len(w) == 1 and (w.isalpha() or w in SIGNS)
-            return (*_of_word(w.lower() if single else r.word(w)), ord(w.lower()) if single and len(w.lower()) == 1 else 0)
+            single = len(w) == 1 and len(w.lower()) == 1
+            return (*_of_word(r.alone(w.lower()) if single else r.word(w)), ord(w.lower()) if single else 0)
 
         for row, doc, words, n in slices(texts, make, 4):
             spelt = words[:, 3] > 0
@@ -179,9 +254,10 @@ def features_of(held, key):
             ends = np.flatnonzero(spelt & np.append(~spelt[1:] | (doc[1:] != doc[:-1]), True)) + 1
             more, gone = [], np.zeros(len(doc), dtype=bool)
             for i, j in zip(begins.tolist(), ends.tolist()):
-                if j - i >= SPELT:
+                run = [chr(c) for c in words[i:j, 3].tolist()] if j - i >= SPELT else []
+                if is_spelt(run):
                     gone[i:j] = True
-                    more.append((doc[i], *_of_word(r.decoded("".join(map(chr, words[i:j, 3].tolist()))))))
+                    more += [(doc[i], *_of_word(w)) for w in r.decoded(" ".join(run)).split(" ")]
             kept = ~gone
             families = [(doc[kept], mixed(words[kept, k], k, SIZE)) for k in range(3)]
             if more:

@@ -173,3 +173,18 @@ def test_license_scan_finds_short_templates_in_long_texts(spark):
     held = [(0, "spdx"), (1, "spdx"), (2, "reserved"), (5, "MIT"), (5, "reserved"), (6, "one")]
     assert sorted((r.doc_id, r.template, r.shared, r.shingles) for r in found) == sorted(
         (k + more, name, 1, 1) for k, name in held for more in (0, 10))
+
+
+def test_spelt_runs_are_parted_into_words(spark):
+    import types
+
+    costs = toxicity.trigram_costs(spark.read.parquet(f"{SF}/documents.parquet"))
+    r = toxicity.Restorer(costs)
+    features = toxicity.features_of(types.SimpleNamespace(value=costs), "spelt")
+    for raw, text in [("such a m o r o n here", "such a moron here"), ("I s c u m", "i scum"), ("y o u i d i o t", "you idiot"),
+                      ("s t u p i d m o r o n", "stupid moron"), ("i . d . i . o . t", "idiot"), ("m 0 r o n i d 1 o t", "moron idiot"),
+                      ("i d i i o t", "idiot"), ("c l o w n", "clown")]:
+        assert r.text(raw) == text
+        (_, doc, found, n), = features(pa.array([raw, text]))
+        assert set(found[doc == 0].tolist()) == set(found[doc == 1].tolist())
+    assert r.text("a - b") == "a b" and r.text(" ".join("x" * 5000)).strip("x ") == ""
