@@ -5,7 +5,8 @@ A disguised word is a character lattice: a digit or sign may stand for letters
 repeated.  The Viterbi path of least cost under a character trigram model,
 counted over all documents, is the restored word.  A run of spelt letters is one
 lattice, in which each space is left out or parts two words; there the corpus's
-common words have costs of their own.  The score is a logistic
+common words have costs of their own.  A doubled letter is left out where that
+makes an unknown word a common one.  The score is a logistic
 regression on the distinct words of the restored text and their beginnings.
 """
 
@@ -37,6 +38,8 @@ COST_SIGN, COST_REPEAT, COST_MORE, COST_MARK, COST_DROP = 1.0, 3.0, 0.2, 0.5, 12
 #: Costs of a space between spelt letters that parts words, and of a letter of
 #: a spelt run that is a word, at most (a corpus may lack 'I').
 COST_SPACE, COST_ALONE = 2.0, 3.0
+#: Cost of a plain word being disguised by doubled letters alone (most doubles are meant).
+COST_PLAIN = 7.0
 #: Letters of a run of single letters that are read as spelt words.
 SPELT = 3
 #: Common words, at most.
@@ -44,7 +47,7 @@ MOST_WORDS = 50_000
 
 _ENDS = re.compile(r"^[^\w@$|+(€£¡]+|[^\w@$|+(€£¡]+$")
 _RUN_AT_END = re.compile(r"([@$|+(€£¡])\1\1+$")
-_THREE = re.compile(r"(.)\1\1", re.S)
+_TWO, _THREE = re.compile(r"(.)\1", re.S), re.compile(r"(.)\1\1", re.S)
 
 
 def is_spelt(run: list[str]) -> bool:
@@ -84,7 +87,7 @@ class Restorer:
         core = self.core(word)
         if core.isalpha():
             if not _THREE.search(core):
-                return core
+                return self.undoubled(core) if _TWO.search(core) and core not in self.common else core
         elif not any(c.isalpha() for c in core) or core.isdigit():
             return core
         return self.decoded(core)
@@ -94,6 +97,21 @@ class Restorer:
         at = bisect_left(self.sorted, text)
         return at < len(self.sorted) and self.sorted[at].startswith(text)
 
+    def undoubled(self, word: str) -> str:
+        """The word, or the common word that it is with letters repeated if that is cheaper."""
+        best, last = {"": 0.0}, ""
+        for x in word:
+            after = {}
+            for text, cost in best.items():
+                if self.begins(text + x):
+                    after[text + x] = min(cost, after.get(text + x, cost))
+                if x == last:
+                    after[text] = min(cost + COST_REPEAT, after.get(text, math.inf))
+            best, last = after, x
+        at = [0, 0, *(int(self.letter[ord(x)]) for x in word), 0]
+        kept = sum(self.costs[(a * LETTERS + b) * LETTERS + c] for a, b, c in zip(at, at[1:], at[2:]))
+        return min([(kept, word), *((cost + COST_PLAIN + self.common[text], text) for text, cost in best.items() if text in self.common)])[1]
+
     def decoded(self, raw: str) -> str:
         if raw not in self.known:
             if len(self.known) > 100_000:

@@ -188,3 +188,10 @@ def test_spelt_runs_are_parted_into_words(spark):
         (_, doc, found, n), = features(pa.array([raw, text]))
         assert set(found[doc == 0].tolist()) == set(found[doc == 1].tolist())
     assert r.text("a - b") == "a b" and r.text(" ".join("x" * 5000)).strip("x ") == ""
+
+
+def test_doubled_letters_are_left_out(spark):
+    r = toxicity.Restorer(toxicity.trigram_costs(spark.read.parquet(f"{SF}/documents.parquet")))
+    for raw, word in [("stuupid", "stupid"), ("mooron", "moron"), ("Idiiot!", "idiot"), ("sccum", "scum"), ("ssttuuppiidd", "stupid"),
+                      ("tree", "tree"), ("worthless", "worthless"), ("beer", "beer"), ("qqxx", "qqxx")]:
+        assert r.word(raw) == word
