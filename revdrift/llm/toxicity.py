@@ -55,10 +55,6 @@ def is_spelt(run: list[str]) -> bool:
     return sum(w.isalpha() or w in SIGNS for w in run) >= SPELT
 
 
-def cheapest(states: dict) -> dict:
-    return dict(sorted(states.items(), key=lambda t: t[1][0])[:64])
-
-
 class Restorer:
     """Viterbi decoding under trigram costs (-log P(c | a, b), flat)."""
 
@@ -160,7 +156,7 @@ class Restorer:
             if spelt:
                 if (0, 0, False) in best:
                     walks["", False] = best[0, 0, False]
-                best, after = cheapest(after), {}
+                best, after = after, {}
                 for (word, out), (cost, text) in walks.items():
                     for y, more in options:
                         if self.begins(word + y):
@@ -171,7 +167,7 @@ class Restorer:
                         put((word, out), cost + (COST_DROP if x in SIGNS or x.isalnum() else COST_MARK), text)
                 walks = after
             else:
-                best = cheapest(after)
+                best = after
         _, text, _ = min(ends(), key=itemgetter(0))
         letters = []
         while text:

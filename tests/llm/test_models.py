@@ -195,3 +195,21 @@ def test_doubled_letters_are_left_out(spark):
     for raw, word in [("stuupid", "stupid"), ("mooron", "moron"), ("Idiiot!", "idiot"), ("sccum", "scum"), ("ssttuuppiidd", "stupid"),
                       ("tree", "tree"), ("worthless", "worthless"), ("beer", "beer"), ("qqxx", "qqxx")]:
         assert r.word(raw) == word
+
+
+def test_words_of_many_signs_have_the_cheapest_path():
+    """Also if only the word's end makes it the cheapest."""
+    L, letter, raw = language.LETTERS, language._tables()[0], "0123456+(1"
+    costs = (np.random.default_rng(0).random((L, L, L)) * 20).astype(np.float32)
+    paths = [(0.0, 0, 0, "")]
+    for x in raw:
+        paths = [(c + toxicity.COST_SIGN + costs[a, b, letter[ord(y)]].item(), b, letter[ord(y)], t + y)
+                 for c, a, b, t in paths for y in toxicity.SIGNS[x]] + [(c + toxicity.COST_DROP, a, b, t) for c, a, b, t in paths]
+    best = {}
+    for c, a, b, t in paths:
+        best[a, b] = min(best.get((a, b), (c, t)), (c, t))
+    assert len(best) > 64
+    end = max(best, key=best.get)
+    costs[:, :, 0] = 10_000
+    costs[end][0] = 0
+    assert toxicity.Restorer(costs.tobytes()).decoded(raw) == best[end][1]
