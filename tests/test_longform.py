@@ -7,7 +7,7 @@ from revdrift.operators.longform import bottom_k, shingle_rows
 from revdrift.operators.shingle import shingle, sketch
 from revdrift.plans import fixtures as fx
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 
 @pytest.mark.parametrize("w,chunk", [(2, 7), (25, 40), (25, 1 << 16)])

@@ -6,7 +6,7 @@ from revdrift.operators import compare, revisions
 from revdrift.plans import fixtures as fx
 from revdrift.sources import sinks
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 
 def _plan(df) -> str:

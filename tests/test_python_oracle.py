@@ -10,7 +10,7 @@ from revdrift.operators import compare, report
 from revdrift.operators.shingle import shingle, sketch
 from revdrift.plans import fixtures as fx
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 
 def py_shingles(text, w):
