@@ -142,7 +142,7 @@ class Tree:
         leaf[self.place + 1] = 1
         leaf = np.cumsum(leaf)
         count = leaf[self._leave] - leaf[self._enter]
-        order = np.lexsort((np.where(self._first == 0, -1, -self._first), self._over))
+        order = np.lexsort((np.where(self._first == 0, np.iinfo(np.int64).min, -self._first), self._over))
         over, below = self._over[order], self._below[order]
         before = np.cumsum(count[below]) - count[below]
         own = np.zeros(len(count), dtype=np.int64)

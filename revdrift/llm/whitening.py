@@ -115,13 +115,14 @@ class Whitening:
 
 
 def _by_length(lists):
-    """(length, rows, rows x length) of an Arrow array of lists without nulls in them; null lists are passed over."""
+    """(length, rows, rows x length) of an Arrow array of lists without nulls in them; null and empty lists are passed over."""
     import numpy as np
 
     at = lists.offsets.to_numpy().astype(np.int64)
     size = np.diff(at)
     valid = np.array(lists.is_valid())
     values = lists.values.to_numpy(zero_copy_only=False)
+    valid &= size > 0
     for length in np.unique(size[valid]).tolist():
         rows = np.flatnonzero(valid & (size == length))
         for k in range(0, len(rows), CHUNK):
@@ -204,8 +205,8 @@ def quantised(vector: Column, scale: int = 64, shift: int = 1_000_000) -> Column
 def fit(rows: DataFrame, vector_col: str = "x", components: int = COMPONENTS) -> dict[int, Whitening]:
     """length of vectors -> ``Whitening``, from the distinct vectors of ``rows``.
 
-    ``vector_col`` holds arrays of whole numbers without nulls; null arrays teach
-    nothing, equal ones count once, vectors of each length are fitted by
+    ``vector_col`` holds arrays of whole numbers without nulls; null and empty arrays
+    teach nothing, equal ones count once, vectors of each length are fitted by
     themselves.  Components without variance (all of them, of one vector or of
     equal entries) are left out; an empty table gives an empty result.  The
     distinct vectors are written once and read three times; the driver gets the
@@ -240,8 +241,8 @@ def whiten(rows: DataFrame, fitted: dict[int, Whitening], id_col: str = "vec_id"
     for each row of ``rows`` and component from 1 on.
 
     ``deviation`` is the exact sum of squares of n * x - S (an error where it
-    does not fit a long).  Null vectors, and lengths that were not fitted or have
-    no variance, give no rows; null and repeated ids stay as they are, other
+    does not fit a long).  Null and empty vectors, and lengths that were not fitted or
+    have no variance, give no rows; null and repeated ids stay as they are, other
     columns are ignored, an empty table gives no rows.  Narrow: the fit goes to
     the tasks (dimensions x components numbers).
     """
