@@ -15,7 +15,6 @@ from revdrift.llm.exact_dedup import keep_one
 from revdrift.llm.near_dedup import near_dedup
 from revdrift.llm.packing import pack
 from revdrift.llm.quality import QUALITY
-from revdrift.llm.token_files import with_crc32
 from revdrift.llm.toxicity import toxicity
 
 
@@ -44,8 +43,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """[doc_id, piece, start, length, sequence_id, offset, ids_crc32] of 1024-token sequences."""
-    packing = pack(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2)
-    return packing.placed.join(with_crc32(packing.pieces), ["part", "row"]).drop("part", "row")
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2).placed.drop("part", "row")
 
 
 STAGES = [
