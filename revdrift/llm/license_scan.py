@@ -35,6 +35,7 @@ TEMPLATES = {
     "CC-BY-4.0": "Licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-SA-4.0": "Licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "All-rights-reserved": "All rights reserved.",
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related rights",
 }
 
@@ -115,15 +116,15 @@ def oracle_sql(percent: int = 75) -> str:
     return f"""
         WITH t0 AS (SELECT template, list_filter(regexp_split_to_array(lower(text), '{gaps}'), lambda x: x <> '') AS w
                     FROM (VALUES {rows}) v(template, text)),
-        t1 AS (SELECT DISTINCT template, array_to_string(w[i + 1:i + {SHINGLE}], ' ') AS h
+        t1 AS (SELECT DISTINCT template, least(len(w), {SHINGLE}) AS width, array_to_string(w[i + 1:i + {SHINGLE}], ' ') AS h
                FROM t0, range(greatest(len(w) - {SHINGLE - 1}, 1)) r(i)),
-        t AS (SELECT template, h, count(*) OVER (PARTITION BY template) AS n FROM t1),
-        s AS (SELECT template, h, n, (2 ** ceil(log2(2 * n)))::INT AS span FROM t),
+        t AS (SELECT template, width, h, count(*) OVER (PARTITION BY template) AS n FROM t1),
+        s AS (SELECT template, width, h, n, (2 ** ceil(log2(2 * n)))::INT AS span FROM t),
         d0 AS (SELECT doc_id, row_number() OVER () AS r,
                       list_filter(regexp_split_to_array(lower(coalesce(text, '')), '{gaps}'), lambda x: x <> '') AS w FROM documents),
-        d AS (SELECT doc_id, r, i, array_to_string(w[i + 1:i + {SHINGLE}], ' ') AS h
-              FROM d0, LATERAL (SELECT unnest(range(greatest(len(w) - {SHINGLE - 1}, 1))) AS i) WHERE len(w) > 0),
-        hits AS (SELECT doc_id, r, i, template, d.h, n, span FROM d JOIN s ON d.h = s.h),
+        d AS (SELECT doc_id, r, i, width, array_to_string(w[i + 1:i + width], ' ') AS h
+              FROM d0, (SELECT DISTINCT width FROM t1) v, LATERAL (SELECT unnest(range(len(w) - width + 1)) AS i)),
+        hits AS (SELECT doc_id, r, i, template, d.h, n, span FROM d JOIN s ON d.h = s.h AND d.width = s.width),
         held AS (SELECT doc_id, r, template, n, k * span // 2 AS word, count(DISTINCT h) AS shared
                  FROM hits, LATERAL (SELECT unnest(range(greatest(i // (span // 2) - 1, 0), i // (span // 2) + 1)) AS k)
                  GROUP BY ALL HAVING count(DISTINCT h) * 100 >= n * {percent})

@@ -163,14 +163,14 @@ def test_license_scan_finds_parts_in_long_texts(spark):
 
 def test_license_scan_finds_short_templates_in_long_texts(spark):
     templates = license_scan.template_table(spark, license_scan.TEMPLATES | {
-        "spdx": "SPDX-License-Identifier: MIT", "reserved": "All rights reserved.", "one": "copyleft"})
+        "spdx": "SPDX-License-Identifier: MIT", "one": "copyleft"})
     filler = [f"w{k}" for k in range(300)]
     texts = ["SPDX-License-Identifier: MIT", "# spdx license identifier: mit", "(c) ALL rights, reserved", "all rights are reserved",
              "all rights", "Released under the MIT License. All rights reserved.", "Copyleft"]
     rows = [(k, text) for k, text in enumerate(texts)] + [
         (10 + k, " ".join([*filler[:37 * k], text, *filler[37 * k:]])) for k, text in enumerate(texts)]
     found = license_scan.license_scan(spark.createDataFrame(rows, "doc_id long, text string"), templates).collect()
-    held = [(0, "spdx"), (1, "spdx"), (2, "reserved"), (5, "MIT"), (5, "reserved"), (6, "one")]
+    held = [(0, "spdx"), (1, "spdx"), (2, "All-rights-reserved"), (5, "MIT"), (5, "All-rights-reserved"), (6, "one")]
     assert sorted((r.doc_id, r.template, r.shared, r.shingles) for r in found) == sorted(
         (k + more, name, 1, 1) for k, name in held for more in (0, 10))
 
