@@ -5,7 +5,8 @@ match of that pattern runs from a non-white character into the space behind
 it.  So a text's ids are those of its blocks, cut before each space that
 follows a non-white character.  A coder gets a batch's distinct blocks once,
 and the ids of the texts are gathered from them.  Texts in which a space
-follows other white space go to the coder whole.
+follows other white space go to the coder whole, as do those that hold the
+string of one of the tokenizer's added tokens.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ class LibraryCoder:
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = special_as_text
+        #: Strings that are ids of their own wherever they stand.
+        self.added = [] if special_as_text else [t.content for t in self.tok.get_added_tokens_decoder().values()]
         vocab = self.tok.get_vocab(with_added_tokens=True)
         self.opens = np.zeros(max(vocab.values()) + 1, dtype=bool)  # ids whose text begins with a space
         for token, i in vocab.items():
@@ -71,7 +74,7 @@ class LibraryCoder:
         return np.concatenate(parts), np.array([len(p) for p in parts], dtype=np.int64)
 
 
-def library_coder(path: str, special_as_text: bool = True) -> LibraryCoder:
+def library_coder(path: str, special_as_text: bool = False) -> LibraryCoder:
     """The coder of a file, one for each worker process."""
     return per_worker(("library", path, special_as_text), lambda: LibraryCoder(path, special_as_text))
 
@@ -140,6 +143,8 @@ def _encode(texts, coder):
     before = white[which] | empty[which] & ~first
     before[at[1:] - 1] = False
     loose = np.add.reduceat(before, at[:-1], dtype=np.int64) > 0
+    for token in coder.added:
+        loose |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
     if loose.any():  # those whole, the others by blocks
         mask, row = pa.array(loose), 0
         whole = iter(coder.whole(texts.filter(mask).to_pylist()))

@@ -153,7 +153,7 @@ class _Coder:
         import regex
 
         self.bpe, self.find = bpe, regex.compile(pattern).findall
-        self.known = Known()
+        self.known, self.added = Known(), []
         self.young: dict[bytes, list[int]] = {}
         self.old: dict[bytes, list[int]] = {}
 

@@ -60,12 +60,12 @@ def _encoder(path: str, end_id: int | None, special_as_text: bool):
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, *, out: str | None = None, end_id: int | None = 0,
-                 id_col: str = "doc_id", text_col: str = "text", special_as_text: bool = True) -> str:
+                 id_col: str = "doc_id", text_col: str = "text", special_as_text: bool = False) -> str:
     """Encode whole texts and write them in ascending id order; returns the folder.
 
     ``tokenizer`` is the path of a byte-level BPE file of the tokenizers
-    library; no special tokens are added, and ``special_as_text`` makes their
-    strings in a text ordinary text.  ``end_id`` is put behind each document
+    library; no special tokens are added.  Their strings in a text are their
+    ids, as the library has it; ``special_as_text`` makes them ordinary text.  ``end_id`` is put behind each document
     (None: nothing).  A null text counts as empty.  Null ids come first; rows
     that share an id follow each other in the order of a hash of their text.
     Other columns are ignored; an empty table gives a folder without rows.

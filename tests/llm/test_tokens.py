@@ -22,7 +22,6 @@ JSON, RANKS = P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken")
 @pytest.fixture(scope="module")
 def library():
     t = Tokenizer.from_file(JSON)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
