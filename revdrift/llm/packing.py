@@ -15,6 +15,7 @@ the pieces of its length.
 from __future__ import annotations
 
 from collections import defaultdict
+import zlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from .blocks import encode_texts, library_coder
 from .common import written
 
-PIECES = "part int, row long, doc_id long, piece int, start long, length int, rank long, ids array<int>"
+PIECES = "part int, row long, doc_id long, piece int, start long, length int, rank long, ids_crc32 long, ids array<int>"
 
 Plan = list[tuple[dict[int, int], int]]  # (copies of each length, sequences of this kind)
 
@@ -173,13 +174,15 @@ def _cutter(tokenizer: str, capacity: int, end_id: int, special_as_text: bool):
                 rank = np.empty(len(by), np.int64)
                 rank[order] = seen[by] + within
                 seen += np.bincount(length, minlength=capacity + 1)
+                at_ids = np.append(offsets[of] + start, offsets[-1])
+                raw = memoryview(ids.astype("<u4", copy=False).view(np.uint8))
+                crc = [zlib.crc32(raw[4 * i:4 * j]) for i, j in zip(at_ids[:-1].tolist(), at_ids[1:].tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(of), part, np.int32)), pa.array(row + np.arange(len(of))),
                      b.column(0).slice(at, len(n)).take(pa.array(of)), pa.array(piece.astype(np.int32)),
-                     pa.array(start), pa.array(length.astype(np.int32)), pa.array(rank),
-                     pa.ListArray.from_arrays(pa.array(np.append(offsets[of] + start, offsets[-1]).astype(np.int32)),
-                                              pa.array(ids.astype(np.int32)))],
-                    names=["part", "row", "doc_id", "piece", "start", "length", "rank", "ids"])
+                     pa.array(start), pa.array(length.astype(np.int32)), pa.array(rank), pa.array(crc, pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(at_ids.astype(np.int32)), pa.array(ids.astype(np.int32)))],
+                    names=["part", "row", "doc_id", "piece", "start", "length", "rank", "ids_crc32", "ids"])
                 row += len(of)
     return run
 
@@ -205,7 +208,8 @@ def _placer(plan: Plan):
 @dataclass
 class Packing:
     """``pieces``: [part, row, ids] with the ids of each piece, as written;
-    ``placed``: [part, row, doc_id, piece, start, length, sequence_id, offset]."""
+    ``placed``: [part, row, doc_id, piece, start, length, ids_crc32, sequence_id,
+    offset], with the unsigned crc32 of the ids as little-endian 32-bit integers."""
 
     pieces: DataFrame
     placed: DataFrame
@@ -218,7 +222,7 @@ class Packing:
 
 
 def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 1024, end_id: int = 2, rounds: int = 200,
-         id_col: str = "doc_id", text_col: str = "text", special_as_text: bool = True) -> Packing:
+         id_col: str = "doc_id", text_col: str = "text", special_as_text: bool = False) -> Packing:
     """Pack the ids of all documents into few sequences of at most ``capacity``.
 
     A document's ids are those of its whole text (null: empty) and ``end_id``.
@@ -233,8 +237,8 @@ def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 1024, end_id: int =
     counts = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     before = counts.select("length", "part", (F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")).alias("before"))
     total = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("n")).collect()}  # at most ``capacity`` rows
-    light = pieces.select("part", "row", "doc_id", "piece", "start", "length", "rank").join(before, ["part", "length"])
-    placed = light.select("part", "row", "doc_id", "piece", "start", "length", (F.col("before") + F.col("rank")).alias("slot")).mapInArrow(
+    light = pieces.select("part", "row", "doc_id", "piece", "start", "length", "rank", "ids_crc32").join(before, ["part", "length"])
+    placed = light.select("part", "row", "doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("rank")).alias("slot")).mapInArrow(
         _placer(plan_sequences(total, capacity, rounds)),
-        "part int, row long, doc_id long, piece int, start long, length int, sequence_id long, offset long")
+        "part int, row long, doc_id long, piece int, start long, length int, ids_crc32 long, sequence_id long, offset long")
     return Packing(pieces.select("part", "row", "ids"), placed)

@@ -52,8 +52,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packing = pack(read(spark, sf_dir, "documents"), BYTE_BPE, capacity=1024, end_id=2)
-    return packing.placed.join(with_crc32(packing.pieces), ["part", "row"]).drop("part", "row")
+    return pack(read(spark, sf_dir, "documents"), BYTE_BPE, capacity=1024, end_id=2).placed.drop("part", "row")
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
