@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructType
 
 from . import ftrl
-from .common import crc32_of_id
+from .common import bounded_batches, crc32_of_id
 
 #: Rows with a label that a model is fitted on, at most.
 MOST_ROWS = 12_000
@@ -46,14 +46,18 @@ class Classifier:
         """The weights (float32), from at most ``most`` labelled documents.
 
         The sample is that of the smallest hashes of ids.  Null labels and ids
-        teach nothing, of several labels of an id the largest counts.  Only the
-        sample's ids and labels are broadcast; one task gets its features.
+        teach nothing, of several labels of an id the largest counts, and of
+        several rows of an id the text of the least hash: so one task gets the
+        features of ``most`` rows at most.  Only the sample's ids and labels are
+        broadcast.  An empty table gives weights of zero; other columns are ignored.
         """
         size, features = self.size, self.features
         known = labels.filter(F.col(self.label).isNotNull() & F.col(id_col).isNotNull() & ~self.is_held_out(id_col))
         sample = (known.groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(F.max(self.label).cast("int").alias("label"))
                   .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
-        rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
+        texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+        least = F.min(F.struct(F.xxhash64("text").alias("h"), "text", "label"))  # one row for each id
+        rows = bounded_batches(texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(least.alias("r")).select("doc_id", "r.text", "r.label"))
 
         def featured(batches):
             import numpy as np
@@ -87,11 +91,14 @@ class Classifier:
         """The kept columns with ``score`` (0 to 1, higher: label 1 likelier)
         and ``predicted`` (1 from one half on) for each row.
 
-        Null and empty texts are scored by the bias alone.  Kept columns of the
-        names ``score`` and ``predicted`` give way; an empty table gives no rows.
+        Null and empty texts are scored by the bias alone, repeated rows one by
+        one, long texts whole.  Kept columns of the names ``score`` and
+        ``predicted`` give way, any other names stay; an empty table gives no rows.
         """
-        rows = docs.select(F.col(text_col).cast("string").alias("__text"), *keep).drop("score", "predicted")
-        schema = StructType(rows.schema.fields[1:]).add("score", DoubleType()).add("predicted", IntegerType())
+        kept = docs.select(*keep).schema.fields
+        own = [k for k, f in enumerate(kept) if f.name not in ("score", "predicted")]
+        rows = bounded_batches(docs.select(F.col(text_col).cast("string"), *keep).toDF("text", *[f"kept{k}" for k in range(len(kept))]))
+        schema = StructType([kept[k] for k in own]).add("score", DoubleType()).add("predicted", IntegerType())
         scores = self._scores(docs, weights)
 
         def run(batches):
@@ -100,12 +107,16 @@ class Classifier:
 
             for b in _parts(batches):
                 score = scores(b.column(0))
-                yield (b.drop_columns(["__text"]).append_column("score", pa.array(score))
-                       .append_column("predicted", pa.array((score >= 0.5).astype(np.int32))))
+                yield pa.RecordBatch.from_arrays([*(b.column(1 + k) for k in own), pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
+                                                 names=schema.names)
         return rows.mapInArrow(run, schema)
 
     def choose(self, docs: DataFrame, weights: bytes, label: int, text_col: str = "text") -> DataFrame:
-        """The rows of ``docs`` that are predicted as ``label``, with their columns of any names."""
+        """The rows of ``docs`` that are predicted as ``label``, with their columns of any names.
+
+        Null and empty texts are judged by the bias alone, repeated rows one by
+        one (so all stay or all go), long texts whole; an empty table stays empty.
+        """
         at, scores = docs.columns.index(text_col), self._scores(docs, weights)
 
         def run(batches):
@@ -114,7 +125,7 @@ class Classifier:
 
             for b in _parts(batches):
                 yield b.filter(pa.array((scores(pc.cast(b.column(at), pa.string())) >= 0.5) == bool(label)))
-        return docs.mapInArrow(run, docs.schema)
+        return bounded_batches(docs).mapInArrow(run, docs.schema)
 
     def _scores(self, docs: DataFrame, weights: bytes):
         features, held = self.features, docs.sparkSession.sparkContext.broadcast(weights)

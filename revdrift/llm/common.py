@@ -15,6 +15,9 @@ from ..session import scratch_path
 
 #: Objects that a Python worker keeps.
 KEPT = 2
+#: Bytes of a batch of rows for Python.
+BATCH_BYTES = 4 << 20
+_BYTES, _BYTES_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +35,18 @@ def written(df: DataFrame, name: str, **options: Any) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose rows reach Python in batches of some ``BATCH_BYTES`` (or one
+    longer row), unless the session sets a size of its own.
+
+    Spark's default of 64 MB, times the copies on both sides of the pipe and the
+    cores of an executor, is a large part of a small executor."""
+    conf = df.sparkSession.conf
+    if conf.get(_BYTES, None) == _BYTES_DEFAULT:
+        conf.set(_BYTES, str(BATCH_BYTES))
+    return df
+
+
 def partitions(spark: SparkSession) -> int:
     """Tasks for a stage that an explicit repartition() feeds."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")),
@@ -51,6 +66,17 @@ def per_worker(key: Any, build: Callable[[], Any]) -> Any:
     return got
 
 
+def forget(*but: Any) -> None:
+    """Drop what this worker keeps of earlier stages, but for some keys, and hand
+    back the memory that Arrow holds in reserve."""
+    import pyarrow as pa
+
+    kept = getattr(sys.modules.get("_revdrift_worker"), "kept", {})
+    for key in [k for k in kept if k not in but]:
+        del kept[key]
+    pa.default_memory_pool().release_unused()
+
+
 def crc32_of_id(col: str = "doc_id") -> Column:
     """crc32 of the id as decimal text (held-out folds)."""
     return F.crc32(F.col(col).cast("string").cast("binary"))

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import per_worker, written
+from .common import bounded_batches, forget, per_worker, written
 from .components import components
 from .wordgrams import slices
 
@@ -125,6 +125,7 @@ def _signed(batches):
     import pyarrow as pa
 
     salt, by = _odd(BANDS, 13), _odd(ROWS, 14)
+    forget("ranks")
     for b in batches:
         for row, doc, w, of, h, n in shingles(b.column(1)):
             count = np.bincount(doc, minlength=n)
@@ -151,6 +152,7 @@ def _sets(batches):
     import numpy as np
     import pyarrow as pa
 
+    forget()
     for b in batches:
         for row, _, _, of, h, n in shingles(b.column(1)):
             h, size = distinct(of, h, n)
@@ -222,10 +224,11 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     of that id is kept.  Null and empty texts and texts without words have no
     shingles, link with nothing and are kept.  Rows with a null id link with
     nothing, have no component and are kept.  Rows that share an id are one
-    node of the graph and share its component.  Other columns are ignored; an
+    node of the graph and share its component.  Texts count whole at any length
+    (a longer one is worked off by itself, in memory in proportion to its words).  Other columns are ignored; an
     empty table gives no rows.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = bounded_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
     signed = written(rows.mapInArrow(_signed, "doc_id long, words binary, n_shingles long, bands array<long>"), "signatures")
     known = signed.filter("doc_id IS NOT NULL AND words IS NOT NULL")
     classes = written(known.groupBy("words").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies")), "classes")
@@ -244,9 +247,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     now = members.join(star, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
     mixed = (now.join(sets.select("node", "n").groupBy("node").agg(F.max("n").alias("n")), "node").groupBy("band")
              .agg(F.min("component").alias("least"), F.max("component").alias("most"), F.sum("n").alias("weight"),
-                  F.count("*").alias("size"), F.sum(F.xxhash64("node") % 1_000_000_007).alias("digest"))
+                  F.count("*").alias("size"), *[F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"digest{k}") for k in (1, 2)])
              .filter("least != most"))
-    once = Window.partitionBy("size", "weight", "digest").orderBy("band")  # buckets of the same members count once
+    once = Window.partitionBy("size", "weight", "digest1", "digest2").orderBy("band")  # buckets of the same members count once
     open_ = mixed.withColumn("k", F.row_number().over(once)).filter("k = 1").select(
         "band", F.ceil(F.greatest(F.col("weight") / BLOCK, F.col("size") / MEMBERS)).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")

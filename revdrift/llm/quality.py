@@ -10,6 +10,7 @@ product of the document's features with them.
 from __future__ import annotations
 
 from .classifier import Classifier
+from .common import forget
 from .wordgrams import distinct_features, mixed, number, shape, slices
 
 #: Weights of a model; the last is the bias.
@@ -24,6 +25,7 @@ def features(texts):
     """Runs of rows: (first row, document of each feature, features, rows)."""
     import numpy as np
 
+    forget()
     repeat, odd = np.uint64(number("repeat", 2)), np.uint64(0xD6E8FEB86659FD93)
     for row, doc, words, n in slices(texts, _make, 2):
         w, s = words[:, 0], words[:, 1].copy()

@@ -23,9 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .classifier import Classifier
-from .common import per_worker
+from .common import bounded_batches, per_worker, written
 from .language import LETTERS, _groups, _ngrams, _tables
-from .wordgrams import distinct_features, mixed, number, slices
+from .wordgrams import SLICE_BYTES, distinct_features, mixed, number, slices
 
 SIZE = 1 << 18
 
@@ -42,8 +42,9 @@ COST_SPACE, COST_ALONE = 2.0, 3.0
 COST_PLAIN = 7.0
 #: Letters of a run of single letters that are read as spelt words.
 SPELT = 3
-#: Common words, at most.
-MOST_WORDS = 50_000
+#: A word is common from this share of all words on: at any size, there are
+#: 1 / share of them at most.
+COMMON = 2e-6
 
 _ENDS = re.compile(r"^[^\w@$|+(€£¡]+|[^\w@$|+(€£¡]+$")
 _RUN_AT_END = re.compile(r"([@$|+(€£¡])\1\1+$")
@@ -206,15 +207,48 @@ def _counts(batches):
     yield pa.RecordBatch.from_arrays([pa.array(codes.astype(np.int32)), pa.array(total[codes])], names=["code", "n"])
 
 
+def _words(batches):
+    """[doc_id, text] -> [w, n]: the words of letters, parted as the scorer parts them, with their numbers."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    for b in batches:
+        texts = b.column(1)
+        size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        row = 0
+        while row < len(texts):
+            end = max(row + 1, int(np.searchsorted(size, (size[row - 1] if row else 0) + SLICE_BYTES, side="right")))
+            part = pc.cast(texts.take(pa.array(np.arange(row, end))), pa.large_string())
+            found = pc.utf8_split_whitespace(pc.utf8_lower(pc.drop_null(part))).flatten().value_counts()
+            words, n = found.field(0), found.field(1)
+            plain = pc.and_(pc.utf8_is_alpha(words), pc.greater(pc.utf8_length(words), 1))
+            yield pa.RecordBatch.from_arrays([pc.cast(words.filter(plain), pa.string()), n.filter(plain)], names=["w", "n"])
+            row = end
+
+
+def common_words(rows: DataFrame, share: float = COMMON) -> list[tuple[str, int]]:
+    """The words of letters that make up ``share`` or more of all of them in
+    ``rows`` [doc_id, text], with their numbers, commonest first.
+
+    All words of all rows are counted and written; only those of the share, which
+    cannot be more than 1 / share, reach the driver."""
+    counts = written(rows.mapInArrow(_words, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")), "words")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return sorted(((r.w, r.n) for r in counts.filter(F.col("n") >= share * total).collect()), key=lambda x: (-x[1], x[0]))
+
+
 def trigram_costs(docs: DataFrame, text_col: str = "text") -> bytes:
     """-log P(c | a, b) of letters, float32, and behind them the common words
     with their numbers, counted over all documents.
 
     The driver gets a count for each trigram, ``LETTERS`` cubed at most, and the
-    ``MOST_WORDS`` commonest words."""
+    common words.  Null and empty texts count nothing, repeated rows count each
+    time, long texts are counted whole, other columns are ignored; an empty table
+    gives equal costs and no words."""
     import numpy as np
 
-    rows = docs.select(F.lit(0).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = bounded_batches(docs.select(F.lit(0).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
     got = rows.mapInArrow(_counts, "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).collect()
     n = np.zeros(LETTERS ** 3)
     for code, k in got:
@@ -225,15 +259,15 @@ def trigram_costs(docs: DataFrame, text_col: str = "text") -> bytes:
     p = (n + 2 * back[None]) / (n.sum(axis=2, keepdims=True) + 2)
     costs = (-np.log(p)).astype(np.float32).tobytes()
 
-    word = F.explode(F.split(F.translate(F.lower(F.col(text_col).cast("string")), "\n\t\r", "   "), " ")).alias("w")
-    common = (docs.select(word).filter(r"length(w) > 1 AND w RLIKE '^\\p{L}+$'").groupBy("w").agg(F.count("*").alias("n"))
-              .orderBy(F.desc("n"), "w").limit(MOST_WORDS).collect())
-    lines = "".join(f"{w}:{k}\n" for w, k in common).encode()
+    lines = "".join(f"{w}:{k}\n" for w, k in common_words(rows)).encode()
     return costs + lines.ljust((len(lines) + 3) // 4 * 4)
 
 
 def restore(docs: DataFrame, costs: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """[doc_id, restored] for each row; a null text is restored to an empty one."""
+    """[doc_id, restored] for each row; a null text is restored to an empty one.
+
+    Repeated rows and ids and null ids are restored one by one, long texts whole;
+    other columns are ignored, an empty table gives no rows."""
     held = docs.sparkSession.sparkContext.broadcast(costs)
 
     def run(batches):
@@ -283,7 +317,11 @@ def features_of(held, key):
 
 def toxicity(docs: DataFrame, text_col: str = "text") -> Classifier:
     """The classifier whose features restore text by the trigrams of ``docs``
-    (1: toxic).  Null and empty texts have no features."""
+    (1: toxic).
+
+    Null and empty texts have no features.  Every row counts, also one that is
+    repeated; texts of any length count and are scored whole; other columns are
+    ignored.  An empty table gives a classifier without common words."""
     costs = trigram_costs(docs, text_col)
     held = docs.sparkSession.sparkContext.broadcast(costs)
     return Classifier(features_of(held, zlib.crc32(costs)), SIZE, label="toxic", folds=5, held_out=0)
