@@ -29,6 +29,8 @@ from .shingle import lambda_grid_column, shingle_sets
 
 STEP = 3
 MAX_BACK = 147
+#: Versions of a bucket of a completeness mask.
+BITS = 64
 
 
 def is_target(version: Column | str = "version", step: int = STEP, max_back: int = MAX_BACK) -> Column:
@@ -141,11 +143,46 @@ def skipped_pages(catalog: DataFrame, step: int = STEP, max_back: int = MAX_BACK
     ).filter(F.col("reason").isNotNull())
 
 
+def bit(place: Column) -> Column:
+    """A long with the bit of that place set."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), place)
+
+
+def has_bit(mask: Column, one: Column) -> Column:
+    return mask.bitwiseAND(one) != 0
+
+
+def missing_versions(required: DataFrame, present: DataFrame, keys: Sequence[str] = ("page", "w", "lambda"),
+                     version: str = "version") -> DataFrame:
+    """[keys..., version]: required versions that are not present, each once.
+
+    Versions (from any range) become masks of 64, so that a task ships a row for
+    each key and 64 versions, not one for each version; what is missing is what
+    the masks differ in.  Null versions and keys equal one another."""
+    keys = list(keys)
+    v = F.col(version).cast("long")
+    bucket, own = F.floor(v / BITS).alias("_bucket"), bit(F.pmod(v, F.lit(BITS)).cast("int"))
+    none = F.lit(0).cast("long")
+
+    def marked(df: DataFrame, want: Column, have: Column) -> DataFrame:
+        return df.select(*keys, bucket, want.alias("_want"), have.alias("_have"))
+    one = F.when(v.isNull(), 1).otherwise(own)
+    masks = (marked(required, one, none).unionByName(marked(present, none, one))
+             .groupBy(*keys, "_bucket").agg(F.bit_or("_want").alias("_want"), F.bit_or("_have").alias("_have")))
+    gone = F.col("_want").bitwiseAND(F.bitwise_not("_have"))
+    kind = required.schema[version].dataType
+    places = F.filter(F.array(*[F.lit(k) for k in range(BITS)]), lambda k: has_bit(gone, bit(k)))
+    return masks.filter(gone != 0).select(*keys, "_bucket", F.explode(places).alias("_k")).select(
+        *keys, (F.col("_bucket") * BITS + F.col("_k")).cast(kind).alias(version))
+
+
 def missing_sketches(required: DataFrame, present: DataFrame,
                      keys: Sequence[str] = ("page", "version", "w", "lambda")) -> DataFrame:
-    """Required (page, version, w, lambda) rows absent from a sketch table."""
+    """Required (page, version, w, lambda) rows absent from a sketch table, each once."""
     keys = list(keys)
-    return required.select(*keys).join(present.select(*keys), keys, "left_anti")
+    if "version" not in keys:
+        return required.select(*keys).distinct().join(present.select(*keys), keys, "left_anti")
+    return missing_versions(required, present, [k for k in keys if k != "version"]).select(*keys)
 
 
 def assert_complete(required: DataFrame, present: DataFrame,

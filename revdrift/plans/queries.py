@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.html import html_to_text
 from ..functions.labels import lambda_display, lambda_k, lambda_label, safe_name
 from ..functions.text import encode_tokens, shingle_hashes, tokenize
-from ..operators import compare, longform, report, revisions, runtime
+from ..operators import bitmaps, compare, longform, report, revisions, runtime
 from ..operators.shingle import parse_lambdas, shingle, sketch
 from ..session import scratch_path, work_partitions
 from ..sources import api
@@ -103,6 +103,20 @@ def q_jaccard_to_baseline(spark, sf):
                                   "union_size", "jaccard")
 
 
+def _masks(spark, sf):
+    return bitmaps.version_masks(_chain(spark, sf), WS_GRID, unique=True)
+
+
+def q_jaccard_by_masks(spark, sf):
+    """Similarity over all shingles from version masks (long form, U2 and U3)."""
+    return bitmaps.jaccard_from_masks(_masks(spark, sf))
+
+
+def q_version_set_sizes(spark, sf):
+    """Shingles that all versions of a page share, and that any holds."""
+    return bitmaps.set_sizes(_masks(spark, sf))
+
+
 def q_jaccard_rendered(spark, sf):
     return report.render(_sim(spark, sf)).select("page", "w", "lambda", "version", "jaccard_6dp")
 
@@ -324,6 +338,8 @@ def queries() -> dict[str, Query]:
         "sketch_sizes": q_sketch_sizes,
         "sketch_top_lambda": q_sketch_top_lambda,
         "jaccard_to_baseline": q_jaccard_to_baseline,
+        "jaccard_by_masks": q_jaccard_by_masks,
+        "version_set_sizes": q_version_set_sizes,
         "jaccard_rendered": q_jaccard_rendered,
         "lambda_mae": q_lambda_mae,
         "best_lambda": q_best_lambda,
@@ -412,6 +428,10 @@ mae AS (
 
 def oracle_sql() -> dict[str, str]:
     sh_docs = shingle_ctes("documents", ["doc_id"], list(WS_GRID))
+    f1_rows = f"""WITH {_F1},
+f1_needed AS (SELECT page, version, text FROM f1 WHERE version = 0 OR ({_TARGET})),
+{shingle_ctes("f1_needed", ["page", "version"], list(WS_GRID), "m")},
+d AS (SELECT DISTINCT page, version, w, h FROM m_win)"""
     sh_w2 = shingle_ctes("documents", ["doc_id"], [2])
     sh_chain = shingle_ctes("f1", ["page", "version"], list(WS_GRID))
     f2_upto = """f2 AS (
@@ -500,6 +520,26 @@ SELECT doc_id, CAST(w AS INTEGER) AS w, g."lambda", CAST(rnk AS INTEGER) AS "ran
 FROM r JOIN grid g ON r.rnk <= g.k""",
         "jaccard_to_baseline": f"""{_F1_SIM}
 SELECT page, w, "lambda", version, intersection, union_size, jaccard FROM sim""",
+        "jaccard_by_masks": f"""{f1_rows},
+n AS (SELECT page, version, w, count(*) AS c FROM d GROUP BY ALL),
+i AS (SELECT b.page, b.w, b.version, count(*) AS c FROM d a JOIN d b ON a.page = b.page AND a.w = b.w AND a.h = b.h
+      WHERE a.version = 0 AND b.version <> 0 GROUP BY ALL),
+s AS (SELECT f.page, g.w, f.version, coalesce(i.c, 0) AS x, coalesce(n0.c, 0) + coalesce(n.c, 0) - coalesce(i.c, 0) AS u
+      FROM f1_needed f CROSS JOIN (SELECT unnest({list(WS_GRID)}) AS w) g
+      JOIN (SELECT page FROM f1_needed WHERE version = 0) z ON z.page = f.page
+      LEFT JOIN n n0 ON n0.page = f.page AND n0.w = g.w AND n0.version = 0
+      LEFT JOIN n ON n.page = f.page AND n.w = g.w AND n.version = f.version
+      LEFT JOIN i ON i.page = f.page AND i.w = g.w AND i.version = f.version WHERE f.version <> 0)
+SELECT page, CAST(w AS INTEGER) AS w, version, CAST(x AS INTEGER) AS intersection, CAST(u AS INTEGER) AS union_size,
+       CASE WHEN u = 0 THEN 1.0 ELSE x::DOUBLE / u END::DOUBLE AS jaccard FROM s""",
+        "version_set_sizes": f"""{f1_rows},
+v AS (SELECT page, count(*) AS n_versions FROM f1_needed GROUP BY page),
+c AS (SELECT page, w, h, count(*) AS c FROM d GROUP BY ALL),
+s AS (SELECT c.page, w, count(*) FILTER (WHERE c = n_versions) AS n_shared, count(*) AS n_union
+      FROM c JOIN v ON v.page = c.page GROUP BY ALL)
+SELECT v.page, CAST(g.w AS INTEGER) AS w, CAST(n_versions AS INTEGER) AS n_versions,
+       coalesce(n_shared, 0)::BIGINT AS n_shared, coalesce(n_union, 0)::BIGINT AS n_union
+FROM v CROSS JOIN (SELECT unnest({list(WS_GRID)}) AS w) g LEFT JOIN s ON s.page = v.page AND s.w = g.w""",
         "jaccard_rendered": f"""{_F1_SIM},
 {_RENDERED}
 SELECT page, w, "lambda", version, jaccard_6dp FROM rendered""",
