@@ -16,15 +16,18 @@ the driver except bounded metadata (the parameter grid).
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.html import DEFAULT_ROOTS, html_to_text
 from ..operators import compare, report, revisions, runtime
 from ..operators.shingle import check_windows, parse_lambdas, shingle, sketch
-from ..session import work_partitions
+from ..session import scratch_path, work_partitions
 from ..sources import sinks
 
 # The reference's default grid.
@@ -124,18 +127,35 @@ def revision_corpus(revs: DataFrame, rendered: DataFrame, step: int = 3, max_bac
 
     Returns [page, version, text] (or [page, n_parts, text] with ``concat``).
     The sampled side is bounded per page, so the join on revid is an ordinary
-    shuffle join (or a runtime broadcast when AQE measures it small).  A sampled
-    revision without HTML is an error that names it.
+    shuffle join (or a runtime broadcast when AQE measures it small).  The texts
+    are written once to the shared folder and read back.  A sampled revision
+    without HTML fails that same job with an error that names it, so neither side
+    is read a second time to look for one.
     """
+    path = scratch_path(revs.sparkSession, f"revision-corpus-{uuid.uuid4().hex}")
+    texts = revision_texts(revs, rendered, step, max_back, root_selectors)
+    try:
+        texts.write.parquet(path)
+    except PySparkException as e:
+        named = re.search(r"no rendered HTML for revision \S+ of [^\n]*?(?= SQLSTATE|\n|$)", str(e))
+        if named:
+            raise RuntimeError(named[0]) from None
+        raise
+    stored = revs.sparkSession.read.schema(texts.schema).parquet(path)
+    return revisions.concat_versions(stored) if concat else stored
+
+
+def revision_texts(revs: DataFrame, rendered: DataFrame, step: int = 3, max_back: int = 147,
+                   root_selectors=DEFAULT_ROOTS) -> DataFrame:
+    """[page, version, text] of the sampled revisions, as a plan: one scan of each
+    side, and a check in each row that its HTML is there."""
     sampled = revisions.sample_revisions(revs, step, max_back).select(
         "page", F.col("offset").alias("version"), "revid")
     html = rendered.filter(F.col("html").isNotNull()).select("revid", "html")
-    absent = sampled.join(html.select("revid"), "revid", "left_anti").take(5)
-    if absent:
-        raise RuntimeError("no rendered HTML for " + ", ".join(f"revision {r.revid} of {r.page}" for r in absent))
-    joined = sampled.join(html, "revid")
-    texts = joined.select("page", "version", html_to_text("html", root_selectors).alias("text"))
-    return revisions.concat_versions(texts) if concat else texts
+    absent = F.raise_error(F.concat(F.lit("no rendered HTML for revision "), F.coalesce(F.col("revid").cast("string"), F.lit("null")),
+                                    F.lit(" of "), F.coalesce(F.col("page").cast("string"), F.lit("null"))))
+    checked = F.when(F.col("html").isNull(), absent.cast("string")).otherwise(F.col("html"))
+    return sampled.join(html, "revid", "left").select("page", "version", html_to_text(checked, root_selectors).alias("text"))
 
 
 def study(spark: SparkSession, versions: DataFrame, ws: Sequence[int] = DEFAULT_WS,
@@ -148,10 +168,6 @@ def study(spark: SparkSession, versions: DataFrame, ws: Sequence[int] = DEFAULT_
     read that table, so a lost executor never re-shingles the corpus.  With a
     ``path``, cells that an earlier study left there are not computed again.
     """
-    import uuid
-
-    from ..session import scratch_path
-
     target = path or scratch_path(spark, f"similarity-{uuid.uuid4().hex}")
     sim = materialize_similarity(spark, versions, target, ws, lambdas, refresh)
     mae, best = lambda_quality(sim, lambdas, ws)

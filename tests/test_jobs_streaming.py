@@ -70,10 +70,20 @@ def test_revision_without_html_is_an_error(spark):
     import datetime as dt
     revs = spark.createDataFrame([("P_XX", i, dt.datetime(2024, 1, 1 + i)) for i in range(7)], "page string, revid long, timestamp timestamp")
     html = spark.createDataFrame([(6, "<p>x</p>"), (3, None), (0, "<p>y</p>")], "revid long, html string")
-    with pytest.raises(RuntimeError, match="revision 3 of P_XX"):
+    with pytest.raises(RuntimeError, match="^no rendered HTML for revision 3 of P_XX$"):
         jobs.revision_corpus(revs, html, 3, 6)
 
 
+def test_revision_texts_read_each_side_once(spark, scratch):
+    import datetime as dt
+    revs = spark.createDataFrame([("P_XX", 1, dt.datetime(2024, 1, 1))], "page string, revid long, timestamp timestamp")
+    html = spark.createDataFrame([(1, "<p>x</p>")], "revid long, html string")
+    for name, df in (("r", revs), ("h", html)):
+        df.write.parquet(os.path.join(scratch, name))
+    plan = jobs.revision_texts(spark.read.parquet(os.path.join(scratch, "r")), spark.read.parquet(os.path.join(scratch, "h")))
+    assert plan._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 2
+
+
 def test_revision_corpus(spark):
     import datetime as dt
     t0 = dt.datetime(2024, 1, 1)
