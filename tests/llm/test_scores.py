@@ -1,0 +1,164 @@
+"""Scores of the classifiers and of language identification, recomputed in plain
+Python over all rows; bounds of the fit; common words; clashing names."""
+
+import collections
+import math
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from revdrift.llm import classifier, ftrl, language, quality, toxicity, wordgrams
+from revdrift.llm import queries as Q
+from revdrift.llm.components import components
+from revdrift.llm.token_files import read_tokens, write_tokens
+
+M64 = (1 << 64) - 1
+
+
+def hashed(number, salt, size):
+    x = (number + salt) * 0x9E3779B97F4A7C15 & M64
+    x = (x ^ x >> 29) * 0xBF58476D1CE4E5B9 & M64
+    return (x >> 32) % (size - 1)
+
+
+def fold(i, folds):
+    return zlib.crc32(str(i).encode()) % folds
+
+
+def check_scores(got, texts, labels, features, size, folds, held_out, label):
+    """The query's scores are those of plain features, a model of the rows in order of their ids, and a plain sum."""
+    of = {i: sorted(features(t or "")) for i, t in texts.items()}
+    taught = sorted(i for i, y in labels.items() if y is not None and i in texts and fold(i, folds) != held_out)
+    assert 20 < len(taught) < classifier.MOST_ROWS
+    w = ftrl.train([np.array(of[i]) for i in taught], [labels[i] for i in taught], size).astype(float)
+    assert len(got) == len(texts)
+    for r in got:
+        score = 1 / (1 + math.exp(-(w[-1] + sum(w[f] for f in of[r.doc_id]))))
+        assert r.score == pytest.approx(score, abs=1e-9), r.doc_id
+        assert (r.predicted, r.held_out) == (int(r.score >= 0.5), fold(r.doc_id, folds) == held_out)
+
+
+@pytest.fixture(scope="module")
+def tables(spark, small):
+    read = lambda name: spark.read.parquet(f"{small}/{name}.parquet").collect()
+    return {r.doc_id: r.text for r in read("documents")}, {r.doc_id: r for r in read("labels")}
+
+
+def test_quality_scores_equal_a_plain_version(spark, small, tables):
+    odd, size = 0xD6E8FEB86659FD93, quality.SIZE
+
+    def features(text):
+        words = text.split()
+        w = [wordgrams.number(x) for x in words]
+        s = [wordgrams.number("repeat", 2) if k and x == words[k - 1] else wordgrams.number(wordgrams.shape(x), 1) for k, x in enumerate(words)]
+        out = {hashed(x, 1, size) for x in w} | {hashed(x, 3, size) for x in s}
+        out |= {hashed((a * odd + b) & M64, 2, size) for a, b in zip(w, w[1:])}
+        two = [(a * odd + b) & M64 for a, b in zip(s, s[1:])]
+        return out | {hashed(x, 4, size) for x in two} | {hashed((a * odd + b) & M64, 5, size) for a, b in zip(two, s[2:])}
+    texts, labels = tables
+    check_scores(Q.op4_quality(spark, small).collect(), texts, {i: r.quality for i, r in labels.items()}, features, size, 3, 1, "quality")
+
+
+def test_toxicity_scores_equal_a_plain_version(spark, small, tables):
+    r = toxicity.Restorer(toxicity.trigram_costs(spark.read.parquet(f"{small}/documents.parquet")))
+
+    def features(text):
+        restored, run = [], []
+        for w in [*text.split(), None]:
+            if w is not None and len(w) == 1 and len(w.lower()) == 1:
+                run.append(w.lower())
+                continue
+            restored += r.decoded(" ".join(run)).split(" ") if len(run) >= toxicity.SPELT and toxicity.is_spelt(run) else map(r.alone, run)
+            run = []
+            if w is not None:
+                restored.append(r.word(w))
+        return {hashed(n, k, toxicity.SIZE) for w in restored
+                for k, n in enumerate((wordgrams.number(w), wordgrams.number(w[:4], 4), wordgrams.number(w[:5], 5)))}
+    texts, labels = tables
+    check_scores(Q.op5_toxicity(spark, small).collect(), texts, {i: x.toxic for i, x in labels.items()}, features, toxicity.SIZE, 5, 0, "toxic")
+
+
+def test_languages_equal_a_plain_version(spark, small):
+    rows = spark.read.parquet(f"{small}/documents.parquet").collect()
+    letter, (third, second, first) = language._tables()
+
+    def bundle(text):
+        out, grams = np.zeros(language.DIMENSIONS), collections.Counter()
+        x = [0]
+        for c in (text or "").lower() + " ":
+            n = int(letter[ord(c)])
+            if n or x[-1]:
+                x.append(n)
+        for g in zip(x, x[1:], x[2:]):
+            if g[1]:
+                grams[g] += 1
+        for (a, b, c), n in grams.items():
+            out += n * (first[a].astype(float) * second[b] * third[c])
+        return out, bool(grams)
+    seen = {r.doc_id: bundle(r.text) for r in rows}
+    names = sorted({r.lang for r in rows if r.lang is not None and fold(r.doc_id, 4) != 2})
+    own = np.array([sum(seen[r.doc_id][0] for r in rows if r.lang == name and fold(r.doc_id, 4) != 2) for name in names])
+    own /= np.linalg.norm(own, axis=1, keepdims=True)
+    for r in Q.op9_language(spark, small).collect():
+        vector, known = seen[r.doc_id]
+        if not known:
+            assert (r.lang_pred, r.score) == ("und", 0)
+            continue
+        cosine = own @ vector / np.linalg.norm(vector)
+        assert r.score == pytest.approx(max(0, cosine.max()), abs=1e-4)
+        assert cosine[names.index(r.lang_pred)] >= cosine.max() - 1e-5
+
+
+def test_kept_columns_may_have_any_name(spark):
+    docs = spark.createDataFrame([(1, "a b c", "x", 5, "y"), (2, None, "z", 6, "y")], "doc_id long, text string, __text string, score int, kept0 string")
+    weights = bytes(4 * quality.SIZE)
+    got = quality.QUALITY.score(docs, weights, "text", "doc_id", "__text", "score", "kept0")
+    assert got.columns == ["doc_id", "__text", "kept0", "score", "predicted"]
+    assert sorted(map(tuple, got.collect())) == [(1, "x", "y", 0.5, 1), (2, "z", "y", 0.5, 1)]
+    assert quality.QUALITY.choose(docs, weights, 1).columns == docs.columns
+
+
+def test_rows_of_a_fit_are_bounded_also_if_ids_are_repeated(spark):
+    """Three labelled ids on 3000 rows teach three rows: for each id the text of the least hash."""
+    ids = [i for i in range(100) if fold(i, 3) != 1][:3]
+    rows = [(ids[k % 3], f"text {k} of {ids[k % 3]}") for k in range(3000)]
+    docs = spark.createDataFrame(rows + rows[:10], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, quality int")
+    least = {r.doc_id: r.t for r in docs.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("t")).collect()}
+    once = spark.createDataFrame([(i, t) for i, t in least.items()], "doc_id long, text string")
+    assert quality.QUALITY.fit(docs, labels) == quality.QUALITY.fit(once, labels)
+    assert quality.QUALITY.fit(docs.limit(0), labels) == bytes(4 * quality.SIZE)
+
+
+def test_common_words_are_a_share_and_all_words_count(spark):
+    rows = [(k, f"Common common, w{k} été été été\x1fx") for k in range(200)] + [(None, None), (1, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    # words of letters only: 'common' without the mark, three times 'été' parted by other white space; one letter is no word
+    assert toxicity.common_words(docs, 0.1) == [("été", 600), ("common", 200)]
+    assert toxicity.common_words(docs, 0.3) == [("été", 600)]
+    assert toxicity.common_words(docs.limit(0)) == []
+    many = spark.createDataFrame([(k, " ".join("abcdefghij"[int(d)] for d in f"{k:04}").replace(" ", "") + "x") for k in range(5000)], "doc_id long, text string")
+    assert len(toxicity.common_words(many, 1e-6)) == 5000 and toxicity.common_words(many, 1e-3) == []
+
+
+def test_added_tokens_strings_are_ids_of_their_own(spark):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|>", "plain text here", "<|endoftext", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.ids for r in read_tokens(spark, write_tokens(docs, Q.BYTE_BPE, end_id=None)).collect()}
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(Q.BYTE_BPE)
+    assert got == {k: plain.encode(t or "", add_special_tokens=False).ids for k, t in enumerate(texts)}
+    assert got[0] == [64, 220, 50256, 275]
+    text = {r.doc_id: r.ids for r in read_tokens(spark, write_tokens(docs, Q.BYTE_BPE, end_id=None, special_as_text=True)).collect()}
+    assert 50256 not in text[0] + text[1] and text[3] == got[3]
+
+
+def test_components_of_many_small_and_one_long_chain(spark):
+    rng = np.random.default_rng(8)
+    chain = rng.permutation(300).tolist()
+    edges = list(zip(chain, chain[1:])) + [(1000 + 3 * k, 1000 + 3 * k + 1) for k in range(200)] + [(1000, 1001)] * 3
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{k: 0 for k in range(300)}, **{1000 + 3 * k + d: 1000 + 3 * k for k in range(200) for d in (0, 1)}}
