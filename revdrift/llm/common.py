@@ -24,15 +24,24 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path on the cluster's shared files."""
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, path: str, **options: Any) -> DataFrame:
+    """Write ``df`` as Parquet to ``path`` and read it back."""
+    df.write.options(**options).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def written(df: DataFrame, name: str, **options: Any) -> DataFrame:
     """Write ``df`` as Parquet to the cluster's shared folder and read it back.
 
     Cuts the lineage: later stages read files that every executor sees, so a
     lost executor costs a re-read and never a recomputation.
     """
-    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
-    df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored(df, scratch_folder(df.sparkSession, name), **options)
 
 
 def bounded_batches(df: DataFrame) -> DataFrame:

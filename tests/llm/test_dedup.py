@@ -9,7 +9,8 @@ from revdrift.llm import embedding_dedup as E
 from revdrift.llm import near_dedup as N
 from revdrift.llm.components import components
 from revdrift.llm.embedding_dedup import embedding_dedup
-from revdrift.llm.exact_dedup import directory, exact_dedup, keep_one
+from revdrift.llm import exact_dedup as X
+from revdrift.llm.exact_dedup import build_index, directory, exact_dedup, insert, keep_one, lookup, open_index, owners
 from revdrift.llm.near_dedup import near_dedup
 
 
@@ -117,6 +118,66 @@ def test_directory_doubles_for_overfull_buckets():
     assert directory({3: 100}, 1, 2) == (2, [0, 0, 1, 2])  # as deep as it goes, then it chains
 
 
+def entries_of(rows):
+    """text -> (largest id, rows), by definition."""
+    groups = collections.defaultdict(list)
+    for i, t in rows:
+        groups[t or ""].append(i)
+    return {t: (max(g), len(g)) for t, g in groups.items()}
+
+
+def test_a_second_batch_doubles_the_directory(spark):
+    first = [(k, f"text {k % 37} " * (k % 5)) for k in range(120)]
+    second = [(1000 + k, f"text {k % 301} " * (k % 7)) for k in range(900)]
+    schema = "doc_id long, text string"
+    one = build_index(spark.createDataFrame(first, schema), bucket_entries=16, max_depth=8, key_bits=10)
+    two = insert(open_index(spark, one.path), spark.createDataFrame(second, schema).repartition(3))
+    assert 0 < one.depth < two.depth
+    for index, rows in ((one, first), (two, first + second)):
+        again = open_index(spark, index.path)
+        held = again.entries.collect()
+        assert {r.text: (r.keep_id, r.group_size) for r in held} == entries_of(rows) and len(held) == len(entries_of(rows))
+        place = {r.slot: r.bucket for r in again.directory.collect()}
+        assert len(place) == 2 ** again.depth
+        assert all(r.bucket == place[(r.key & (2 ** 64 - 1)) >> (64 - again.depth)] for r in held)
+        chains = collections.defaultdict(list)
+        for r in held:
+            chains[r.key].append(r.chain)
+        assert all(sorted(c) == list(range(len(c))) for c in chains.values())
+        in_file = {(r.bucket, r.f) for r in again.entries.select("bucket", X.F.input_file_name().alias("f")).distinct().collect()}
+        assert len(in_file) == len({b for b, _ in in_file})  # a bucket lies in one file
+    assert any(len(c) > 1 for c in chains.values())  # ten bits collide
+
+    asked = spark.createDataFrame([(1, first[3][1]), (2, "never seen"), (3, None), (4, second[8][1])], schema)
+    want = entries_of(first + second)
+    assert {r.doc_id: (r.keep_id, r.group_size) for r in lookup(two, asked).collect()} == {
+        1: want[first[3][1]], 2: (None, None), 3: want[""], 4: want[second[8][1]]}
+    assert {r.doc_id: r.group_size for r in lookup(one, asked).collect()}[4] is None
+
+
+def test_buckets_and_owners_are_bounded_by_bytes(spark):
+    rows = [(k, f"{k} " * 2000) for k in range(64)] + [(k, str(k)) for k in range(64, 128)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    index = build_index(docs, bucket_bytes=40_000, max_depth=10)
+    held = collections.defaultdict(list)
+    for r in index.entries.collect():
+        held[r.bucket].append(r.n_bytes)
+    assert len(held) > 8 and all(sum(b) <= 40_000 for b in held.values())
+    assert rows_of(exact_dedup(docs, bucket_bytes=100)) == brute_exact(rows)  # one text alone may be larger
+    assert owners([10, 10, 10, 10], 2) == [0, 0, 1, 1]
+    got = owners([100] * 50 + [10_000] + [100] * 50, 8)
+    assert got == sorted(got) and max(got) < 8 and got.count(got[50]) < 55
+
+
+def test_texts_that_most_rows_share_are_merged_by_salted_groups(spark, monkeypatch):
+    monkeypatch.setattr(X, "SALTS", 3)
+    rows = [(k, "the same text" if k % 3 else f"rare {k % 40}") for k in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    for one_in in (1, 10, 10_000):  # none, one and all texts are common
+        monkeypatch.setattr(X, "HOT_ONE_IN", one_in)
+        assert rows_of(exact_dedup(docs, key_bits=2)) == brute_exact(rows)
+
+
 # ---------------------------------------------------------------- embeddings
 
 def brute_embeddings(rows, cosine=0.95):
