@@ -18,7 +18,7 @@ from ..functions.text import encode_tokens, shingle_hashes, tokenize
 from ..operators import bitmaps, compare, longform, report, revisions, runtime
 from ..operators.shingle import parse_lambdas, shingle, sketch
 from ..session import scratch_path, work_partitions
-from ..sources import api
+from ..sources import api, cells
 from ..sources import dumps as dumps_src
 from ..sources import sinks
 from . import fixtures as fx
@@ -267,6 +267,20 @@ def q_similarity_table(spark, sf):
         "page", "w", "lambda", "version", "intersection", "union_size", "jaccard_6dp")
 
 
+def q_similarity_cells(spark, sf):
+    """Cells of two read-through tables as their manifests have them: pages with
+    targets, and baselines alone, whose cells are there without rows."""
+    f2 = fx.sources_as_pages_upto(_docs(spark, sf), compare.MAX_BACK)
+    out = None
+    for pages, texts in (("all", f2), ("baselines", f2.filter("version = 0"))):
+        path = _scratch(spark, f"similarity-cells-{pages}")
+        for lambdas in (("8",), LAMBDAS):
+            jobs.materialize_similarity(spark, texts, path, (2,), lambdas)
+        counts = cells.cell_counts(spark, path).select(F.lit(pages).alias("pages"), "w", "lambda", "n_rows")
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
 def q_summary_csv(spark, sf):
     """The summary CSV, written and read back; window size 3 has no pairs."""
     path = _scratch(spark, "summary-csv")
@@ -325,6 +339,7 @@ def queries() -> dict[str, Query]:
     return {
         "similarity_csv": q_similarity_csv,
         "similarity_table": q_similarity_table,
+        "similarity_cells": q_similarity_cells,
         "summary_csv": q_summary_csv,
         "timing_csv": q_timing_csv,
         "sketch_lines": q_sketch_lines,
@@ -465,6 +480,9 @@ SELECT page_id, CAST(length(text) AS INTEGER) AS n_chars, md5(text) AS text_md5,
 SELECT page AS city, w, "lambda", version, CAST(printf('%.6f', jaccard) AS DOUBLE) AS jaccard FROM sim""",
         "similarity_table": f"""{f2_sim}
 SELECT page, w, "lambda", version, intersection, union_size, printf('%.6f', jaccard) AS jaccard_6dp FROM sim""",
+        "similarity_cells": f"""{f2_sim}
+SELECT 'all' AS pages, w, "lambda", count(*) AS n_rows FROM sim GROUP BY w, "lambda" UNION ALL
+SELECT DISTINCT 'baselines', w, "lambda", 0 FROM sim""",
         "summary_csv": f"""{f2_sim},
 {_MAE}
 SELECT w, "lambda", mae_vs_infty FROM mae UNION ALL
