@@ -78,6 +78,29 @@ def test_rank_within_matches_window_on_a_hot_group(spark, reuse, descending):
         spark.conf.unset("spark.sql.exchange.reuse")
 
 
+def test_equal_first_order_values_are_dealt_to_all_tasks(spark):
+    """A million rows of one page with one timestamp."""
+    from revdrift.operators.ranking import rank_within, with_bucket
+    df = spark.range(0, 1_000_000, 1, 16).select(
+        F.lit("p").alias("page"), F.timestamp_seconds(F.lit(1_700_000_000)).alias("timestamp"), (F.col("id") * 7919 % 1_000_003).alias("revid"))
+    shares = [r["count"] for r in with_bucket(df, "page", ["timestamp", "revid"], 16).groupBy("_bucket").count().collect()]
+    assert len(shares) == 16 and max(shares) <= 2 * 1_000_000 / 16
+    got = rank_within(df, "page", ["timestamp", "revid"], buckets=16)
+    assert "direct_shuffle_partition_id" in got._jdf.queryExecution().executedPlan().toString()
+    top = got.orderBy("revid").select("rank").limit(1000).collect()
+    assert [r.rank for r in top] == list(range(1000))
+    assert got.select(F.count_distinct("rank"), F.max("rank")).first() == (1_000_000, 999_999)
+
+
+def test_rank_of_nulls_text_and_no_rows(spark):
+    from revdrift.operators.ranking import rank_within
+    rows = [("a", None, "x"), ("a", None, None), ("a", 1.5, "b"), ("a", 1.5, None), ("a", float("nan"), "a"), ("b", 2.0, "z")]
+    df = spark.createDataFrame(rows, "g string, k double, s string")
+    got = {(r.g, repr(r.k), r.s): r.rank for r in rank_within(df, "g", ["k", "s"], buckets=4).collect()}
+    assert got == {("a", "None", None): 0, ("a", "None", "x"): 1, ("a", "1.5", None): 2, ("a", "1.5", "b"): 3, ("a", "nan", "a"): 4, ("b", "2.0", "z"): 0}
+    assert rank_within(df.limit(0), "g", ["k", "s"]).collect() == []
+
+
 def test_mae_has_a_row_for_each_cell_of_the_grid(spark):
     sim = spark.createDataFrame([("p", 25, "inf", 3, 0.5), ("p", 25, "8", 3, 0.25)],
                                 "page string, w int, lambda string, version int, jaccard double")
