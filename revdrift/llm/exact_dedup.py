@@ -146,8 +146,8 @@ def _merged(rows: DataFrame, *by: str) -> DataFrame:
 
 def _distinct_texts(keyed: DataFrame, census: DataFrame) -> DataFrame:
     """[key, text, keep_id, group_size]: rows that map tasks have collapsed."""
-    total = census.agg(F.sum("rows").alias("total"))
-    hot = F.broadcast(census.join(F.broadcast(total)).filter(f"rows > 1 AND rows * {HOT_ONE_IN} >= total").select("key"))
+    total = census.agg(F.sum("rows")).first()[0] or 0
+    hot = F.broadcast(census.filter((F.col("rows") > 1) & (F.col("rows") * HOT_ONE_IN >= total)).select("key"))
     rare = keyed.join(hot, "key", "left_anti").select("doc_id", "key", "text").mapInArrow(
         _collapse, "key long, text string, keep_id long, group_size long")
     common = keyed.join(hot, "key", "left_semi").select(
