@@ -4,16 +4,18 @@ A hash turns the unit vector by three rounds of random signs and a fast
 Hadamard transform and takes the coordinate of largest size with its sign: the
 nearest vertex of a cross-polytope.  Some turned vectors make the bucket of a
 table, and probing several buckets for a vector, those with the next largest
-coordinates, makes near vectors meet in fewer tables.  Buckets are compared in
-blocks by exact cosines: a pair counts in the first bucket that both are in, a
+coordinates, makes near vectors meet in fewer tables.  Of buckets with the same
+vectors (known by their number and 128 bits) one is enough.  Those are compared
+in blocks by exact cosines: a pair counts in the least bucket that both are in, a
 block gives each vector's number of links and only links that join components.
+A vector travels as it came, with the numbers of its own buckets.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, LongType, StructType
+from pyspark.sql.types import ArrayType, LongType, StructType
 
 from .common import partitions, per_worker, written
 from .components import components
@@ -25,6 +27,8 @@ TABLES, TURNS, PROBES = 14, 3, 4
 BLOCK = 1024
 #: Vectors that are hashed together.
 CHUNK = 512
+#: Earlier buckets that a block's pairs are looked up in at a time.
+COLUMNS = 2048
 
 
 def hadamard(x):
@@ -75,7 +79,6 @@ def buckets(unit):
                 other = (order[:, p - 1] == k) if 0 < p <= TURNS else np.zeros(m, dtype=bool)
                 key = key * (2 * n) + np.where(other, second[k], best[k])
             out[:, t, p] = key
-    out.sort(axis=2)  # one order of a table's buckets for all vectors
     return out.reshape(m, -1)
 
 
@@ -108,30 +111,34 @@ def _list(rows):
 
 
 def _hashed(batches):
-    """[embedding, node, copies] -> the same with [unit, buckets], without vectors that cannot link."""
+    """[embedding, node, copies] -> the same with [buckets], without vectors that cannot link."""
     import numpy as np
     import pyarrow as pa
 
     for b in batches:
         for rows, unit in _units(b.column(0)):
             keys = np.concatenate([buckets(unit[i:i + CHUNK]) for i in range(0, len(unit), CHUNK)])
-            keys ^= np.int64(unit.shape[1] << 48)  # vectors of other lengths have other buckets
             kept = b.take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays([*kept.columns, _list(unit), _list(keys)],
-                                             names=["embedding", "node", "copies", "unit", "buckets"])
+            yield pa.RecordBatch.from_arrays([*kept.columns, _list(keys)], names=["embedding", "node", "copies", "buckets"])
 
 
-def _first_common(one, two, place):
-    """Is the bucket at ``place`` among one's the first that both have?  As all
-    vectors order a table's buckets alike, a pair has one first bucket."""
+def _met_before(at, values, bucket, left, right):
+    """left x right members of a block: are both in a bucket before this one?
+    ``values[at[k]:at[k + 1]]`` are the buckets of member k."""
     import numpy as np
 
-    first = np.ones(len(one), dtype=bool)
-    for c in range(one.shape[1]):
-        table = c // PROBES * PROBES  # only buckets of the same table can be equal
-        same = (two[:, table:table + PROBES] == one[:, c:c + 1]).any(axis=1)
-        first &= ~(same & (c < place))
-    return first
+    row, value = np.repeat(np.arange(len(at) - 1), np.diff(at)), values[at[0]:at[-1]]
+    row, value = row[value < bucket], value[value < bucket]
+    _, column, n = np.unique(value, return_inverse=True, return_counts=True)
+    shared = n > 1
+    row, column = row[shared[column]], (np.cumsum(shared) - 1)[column[shared[column]]]
+    met = np.zeros((len(left), len(right)), dtype=bool)
+    for c in range(0, int(shared.sum()), COLUMNS):
+        here = (column >= c) & (column < c + COLUMNS)
+        member = np.zeros((len(at) - 1, COLUMNS), dtype=np.float32)
+        member[row[here], column[here] - c] = 1
+        met |= member[left] @ member[right].T > 0
+    return met
 
 
 def _runs(batches, names):
@@ -160,29 +167,32 @@ def _compare(cosine: float):
         import numpy as np
         import pyarrow as pa
 
-        for t, edges in _runs(batches, ("bucket", "x", "y")):
+        for t, edges in _runs(batches, ("dims", "bucket", "x", "y")):
             t = t.combine_chunks()
-            node, own, weight = (t[n].to_numpy() for n in ("node", "own", "copies"))
-            bucket, x, y = (t[n].to_numpy() for n in ("bucket", "x", "y"))
-            units, keys = t["unit"].chunk(0), t["buckets"].chunk(0)
-            at, values = units.offsets.to_numpy(), units.values.to_numpy()
-            all_keys = keys.values.to_numpy()[keys.offsets.to_numpy()[0]:keys.offsets.to_numpy()[-1]].reshape(len(t), -1)
+            node, own, weight, bucket, x, y = (t[n].to_numpy() for n in ("node", "own", "copies", "bucket", "x", "y"))
+            by_length = [(rows, unit) for rows, unit in _units(t["embedding"].chunk(0))]
+            lists = t["buckets"].chunk(0)
+            at, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+            length = np.zeros(len(t), dtype=np.int64)
+            for k, (rows, _) in enumerate(by_length):
+                length[rows] = k
             nodes, links, others = [], [], []
             for s, e in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                if e - s < 2 or at[e] - at[s] != (at[s + 1] - at[s]) * (e - s):
+                if e - s < 2:
                     continue
-                unit = values[at[s]:at[e]].reshape(e - s, -1)
+                rows, unit = by_length[length[s]]  # vectors of a block have one length
+                first = np.searchsorted(rows, s)
+                unit = unit[first:first + e - s]
                 left = np.flatnonzero(own[s:e] == x[s])
                 right = left if x[s] == y[s] else np.flatnonzero(own[s:e] == y[s])
                 near = unit[left] @ unit[right].T >= cosine
-                i, j = np.nonzero(np.triu(near, 1) if x[s] == y[s] else near)
-                if not len(i):
+                if x[s] == y[s]:
+                    near = np.triu(near, 1)
+                if not near.any():
                     continue
-                i, j, mine = left[i], right[j], all_keys[s:e]
-                place = np.argmax(mine == bucket[s], axis=1)
-                counts = np.concatenate([_first_common(mine[i[k:k + 65536]], mine[j[k:k + 65536]], place[i[k:k + 65536]])
-                                         for k in range(0, len(i), 65536)])
-                i, j = i[counts], j[counts]
+                near &= ~_met_before(at[s:e + 1], values, bucket[s], left, right)
+                i, j = np.nonzero(near)
+                i, j = left[i], right[j]
                 n = (np.bincount(i, weights=weight[s + j], minlength=e - s) + np.bincount(j, weights=weight[s + i], minlength=e - s))
                 linked = np.flatnonzero(n)
                 nodes += node[s + linked].tolist()
@@ -223,18 +233,22 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("embedding"))
     known = rows.filter("vec_id IS NOT NULL AND embedding IS NOT NULL")
     classes = known.groupBy("embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
-    schema = (StructType(list(classes.schema.fields)).add("unit", ArrayType(DoubleType())).add("buckets", ArrayType(LongType())))
-    hashed = written(classes.mapInArrow(_hashed, schema), "vectors")
-
-    places = hashed.select("node", F.explode(F.array_distinct("buckets")).alias("bucket"))
-    size = places.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select(
-        "bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    members = (places.join(size, "bucket")
-               .select("bucket", "node", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-               .select("bucket", "node", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")))
-    blocks = (members.join(hashed.select("node", "copies", "unit", "buckets"), "node")
-              .repartition(partitions(vectors.sparkSession), "bucket", "x", "y").sortWithinPartitions("bucket", "x", "y"))
+    schema = StructType(list(classes.schema.fields)).add("buckets", ArrayType(LongType()))
+    hashed = written(classes.mapInArrow(_hashed, schema).withColumn("id", F.monotonically_increasing_id()), "vectors")
+
+    places = hashed.select("id", F.size("embedding").alias("dims"), F.explode(F.array_distinct("buckets")).alias("bucket"))
+    members = [F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("one"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("two")]
+    size = (places.groupBy("dims", "bucket").agg(*members).filter("n > 1")
+            .groupBy("dims", "n", "one", "two").agg(F.min("bucket").alias("bucket"))
+            .select("dims", "bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    mine = written(places.join(size, ["dims", "bucket"]), "vector-buckets")
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    dealt = (mine.select("dims", "bucket", "id", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+             .select("dims", "bucket", "id", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")))
+    vectors_of = (mine.groupBy("id").agg(F.collect_list("bucket").alias("buckets"))
+                  .join(hashed.select("id", "node", "copies", "embedding"), "id"))
+    block = ["dims", "bucket", "x", "y"]
+    blocks = dealt.join(vectors_of, "id").repartition(partitions(vectors.sparkSession), *block).sortWithinPartitions(*block)
     found = written(blocks.mapInArrow(_compare(cosine), "node long, links long, other long"), "vector-links")
     star = components(found.filter("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b")))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
