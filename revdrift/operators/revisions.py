@@ -70,7 +70,8 @@ def concat_versions(versions: DataFrame, page: str = "page", text_col: str = "te
     in version order, right-stripped, one final newline.
 
     Call it on sampled versions (bounded per page, as the reference does);
-    an unbounded version history would make one row per page unbounded.
+    an unbounded version history would make one row per page unbounded
+    (``concat_parts`` is the form for those).
     """
     parts = versions.select(page, "version", F.concat(F.coalesce(text_col, F.lit("")), F.lit(SEPARATOR)).alias("_p"))
     agg = parts.groupBy(page).agg(
@@ -81,6 +82,29 @@ def concat_versions(versions: DataFrame, page: str = "page", text_col: str = "te
                       F.concat(F.regexp_replace("_raw", _TRAILING_WS, ""), F.lit("\n")).alias("text"))
 
 
+def concat_parts(versions: DataFrame, page: str = "page", text_col: str = "text", versions_per_part: int = 64) -> DataFrame:
+    """[page, part_no, rank, line]: the lines that, written one behind the other
+    with a line feed behind each, are ``concat_versions`` of a page.
+
+    A part is ``versions_per_part`` versions, so a page of any length is as many
+    rows as it has versions and is dealt to a task a part; ranks are those of
+    ``rank_within``, so a hot page is not sorted by one task.  As the separator
+    ends in a sign that is no white space, a page's end is its last separator
+    whatever its texts are.  Null texts count as empty, null versions come first,
+    texts of one version follow one another in the order of their hash.  A page
+    without a name is an error when the lines are read.
+    """
+    if versions_per_part <= 0:
+        raise ValueError("versions_per_part must be positive")
+    rows = versions.select(page, "version", F.coalesce(text_col, F.lit("")).alias("_p")).withColumn("_tie", F.xxhash64("_p"))
+    ranked = rank_within(rows, page, ["version", "_tie"], out="rank")
+    behind = SEPARATOR.removesuffix("\n\n")  # its line feeds are the line's own and the next one's first
+    line = F.concat(F.when(F.col("rank") > 0, F.lit("\n")).otherwise(F.lit("")), F.col("_p"), F.lit(behind))
+    unnamed = F.col(page).isNull() | (F.col(page) == "")
+    return ranked.select(page, F.floor(F.col("rank") / int(versions_per_part)).cast("int").alias("part_no"), "rank",
+                         F.when(unnamed, F.raise_error("a page without a name").cast("string")).otherwise(line).alias("line"))
+
+
 def split_page_key(key, sep: str = "_"):
     """(city, state) from 'City_ST'; NULLs unless the key splits into exactly two."""
     parts = F.split(F.col(key) if isinstance(key, str) else key, sep)
