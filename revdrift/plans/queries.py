@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from ..functions.html import html_to_text
 from ..functions.labels import lambda_display, lambda_k, lambda_label, safe_name
 from ..functions.text import encode_tokens, shingle_hashes, tokenize
-from ..operators import bitmaps, compare, longform, report, revisions, runtime
+from ..operators import bitmaps, compare, longform, report, revisions, runs, runtime
 from ..operators.shingle import parse_lambdas, shingle, sketch
 from ..session import scratch_path, work_partitions
-from ..sources import api, cells
+from ..sources import api, buckets, cells
 from ..sources import dumps as dumps_src
 from ..sources import sinks
 from . import fixtures as fx
@@ -82,6 +82,14 @@ def q_sketch_top_lambda(spark, sf):
         F.col("rank") <= F.col("k")).select("doc_id", "w", "lambda", "rank", "shingle")
 
 
+def q_shingle_runs(spark, sf):
+    """Whole shingle lists in runs by digest range, written and read back run by run."""
+    docs = _spread(_docs(spark, sf).select("doc_id", "text"), "doc_id")
+    path = _scratch(spark, "shingle-runs")
+    sinks.write_runs(runs.sorted_runs(docs, WS_GRID, keys=("doc_id",), run_digests=256), path, "doc_id long")
+    return runs.list_stats(sinks.read_runs(spark, path, "doc_id long"), keys=("doc_id",))
+
+
 def _chain(spark, sf):
     return fx.revision_chain(_docs(spark, sf))
 
@@ -181,6 +189,25 @@ def q_concat_versions(spark, sf):
                       F.length("text").alias("text_length"))
 
 
+def q_concat_parts(spark, sf):
+    """Concatenated pages in parts of 16 versions, a file each, written and read back."""
+    f2 = fx.sources_as_pages_upto(_docs(spark, sf), compare.MAX_BACK)
+    path = _scratch(spark, "concat-parts")
+    sinks.write_concatenated(revisions.concat_parts(f2.filter(F.col("version") % 3 == 0), versions_per_part=16), path)
+    return sinks.read_concatenated_pages(spark, path).select(
+        "page", "part_no", F.md5("text").alias("text_md5"), F.length("text").alias("text_length"))
+
+
+def q_similarity_bucketed(spark, sf):
+    """Similarity from a stored sketch table that is bucketed by page: no exchange behind its scan."""
+    f2 = fx.sources_as_pages_upto(_docs(spark, sf), compare.MAX_BACK)
+    needed = f2.filter(compare.needed_versions("version"))
+    path = _scratch(spark, "sketches-bucketed")
+    name = f"sketches_bucketed_{uuid.uuid4().hex}"
+    stored = buckets.write_bucketed(jobs.sketch_corpus(needed, (2,), LAMBDAS), name, path, work_partitions(spark))
+    return compare.sketch_similarity(stored).select("page", "w", "lambda", "version", "intersection", "union_size", "jaccard")
+
+
 def q_lambda_labels(spark, sf):
     """lambda values requested per event (props.k, plus 'INF' for error events):
     normalised label, sketch size and display labels; 0 is rejected (NULL)."""
@@ -350,6 +377,7 @@ def queries() -> dict[str, Query]:
         "tokenize_docs": q_tokenize_docs,
         "shingle_hash_w2": q_shingle_hash_w2,
         "shingles_sorted": q_shingles_sorted,
+        "shingle_runs": q_shingle_runs,
         "sketch_sizes": q_sketch_sizes,
         "sketch_top_lambda": q_sketch_top_lambda,
         "jaccard_to_baseline": q_jaccard_to_baseline,
@@ -366,7 +394,9 @@ def queries() -> dict[str, Query]:
         "missing_sketches": q_missing_sketches,
         "page_version_jaccard_w2": q_page_version_jaccard_w2,
         "revision_sampling": q_revision_sampling,
+        "similarity_bucketed": q_similarity_bucketed,
         "concat_versions": q_concat_versions,
+        "concat_parts": q_concat_parts,
         "lambda_labels": q_lambda_labels,
         "runtime_summary": q_runtime_summary,
         "runtime_runs_wide": q_runtime_runs_wide,
@@ -522,6 +552,12 @@ SELECT doc_id, CAST(w AS INTEGER) AS w, CAST(n_tokens AS INTEGER) AS n_tokens,
        CAST(len(list_distinct(shingles)) AS INTEGER) AS n_distinct,
        shingles[1] AS min_hash, shingles[-1] AS max_hash,
        md5(array_to_string(shingles, ',')) AS list_md5
+FROM sh_list""",
+        "shingle_runs": f"""WITH {sh_docs}
+SELECT doc_id, CAST(w AS INTEGER) AS w, CAST(n_tokens AS BIGINT) AS n_tokens,
+       CAST(greatest(ceil(len(shingles) / 256.0), 1) AS INTEGER) AS n_runs, CAST(len(shingles) AS BIGINT) AS n_shingles,
+       CAST(len(list_distinct(shingles)) AS BIGINT) AS n_distinct, shingles[1] AS min_hash, shingles[-1] AS max_hash,
+       md5(array_to_string(shingles, ',')) AS list_md5
 FROM sh_list""",
         "sketch_sizes": f"""WITH {_F1},
 {sh_chain},
@@ -613,6 +649,8 @@ WHERE "lambda" = '32' OR page LIKE '%7' OR (version = 63 AND "lambda" = '16')"""
         "page_version_jaccard_w2": f"""WITH {f2_upto},
 f2_needed AS (SELECT page, version, text FROM f2 WHERE version = 0 OR ({_TARGET})),
 {_sim_sql("f2", (2,))}
+SELECT page, w, "lambda", version, intersection, union_size, jaccard FROM sim""",
+        "similarity_bucketed": f"""{f2_sim}
 SELECT page, w, "lambda", version, intersection, union_size, jaccard FROM sim""",
         "revision_sampling": """
 SELECT page, revid, CAST(rn - 1 AS INTEGER) AS "offset" FROM (
@@ -628,6 +666,13 @@ cat AS (
   FROM parts GROUP BY page)
 SELECT page, n_parts, md5(t) AS text_md5, CAST(length(t) AS INTEGER) AS text_length
 FROM (SELECT page, n_parts, regexp_replace(raw, '{WS}$', '') || chr(10) AS t FROM cat)""",
+        "concat_parts": f"""WITH {f2_upto},
+parts AS (SELECT page, text, row_number() OVER (PARTITION BY page ORDER BY version) - 1 AS rk FROM f2 WHERE version % 3 = 0),
+cat AS (
+  SELECT page, CAST(rk // 16 AS INTEGER) AS part_no,
+         string_agg(CASE WHEN rk > 0 THEN chr(10) ELSE '' END || text || chr(10) || repeat('=', 80) || chr(10), '' ORDER BY rk) AS t
+  FROM parts GROUP BY ALL)
+SELECT page, part_no, md5(t) AS text_md5, CAST(length(t) AS INTEGER) AS text_length FROM cat""",
         "runtime_summary": f"""WITH {runs}
 SELECT w, "lambda",
        CASE WHEN "lambda" = 'inf' THEN '∞' ELSE "lambda" END AS lambda_display,
