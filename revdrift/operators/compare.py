@@ -21,11 +21,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.digests import digest_lists
 from ..functions.labels import lambda_k
 from ..functions.similarity import intersection_size, jaccard_from_sizes, union_size
-from ..functions.text import sketch as _sketch
+from ..functions.text import sketch as _sketch, tokenize
 from ..session import work_partitions
-from .shingle import lambda_grid_column, shingle_sets
+from .shingle import check_windows, lambda_grid_column
 
 STEP = 3
 MAX_BACK = 147
@@ -115,13 +116,19 @@ def compare_texts(versions: DataFrame, ws: Sequence[int], lambdas: Sequence, ste
     if not prepartitioned:
         needed = needed.repartition(partitions or work_partitions(versions.sparkSession), F.col(page))
     needed = needed.sortWithinPartitions(page, "version", "_tie")
-    grid = lambda_grid_column(lambdas)
-    sets = shingle_sets(needed, ws, keys=(page, "version", "_tie"), text_col=text_col)
-    sized = sets.select(page, "version", "_tie", F.transform("sets", lambda s: F.struct(
-        s["w"].alias("w"), s["shingles"].alias("shingles"), _sizes(s["shingles"], grid).alias("sizes"))).alias("_cur"))
-    pairs = _with_baseline(sized, "_cur", [page], step, max_back)
+    # the window carries tokens; digests, several times their size, come behind it and are never shuffled
+    texts = needed.select(page, "version", "_tie", tokenize(text_col).alias("_tokens"))
+    pairs = _with_baseline(texts, "_tokens", [page], step, max_back)
+    ws, grid = check_windows(ws), lambda_grid_column(lambdas)
+    lists = pairs.select(page, "version", digest_lists("_base", "_tokens", ws=ws).alias("_lists"))
+
+    def sized(i: int) -> Column:
+        """[w, shingles, sizes] of the i-th of the two texts, for each w."""
+        return F.array(*[F.struct(F.lit(w).alias("w"), s.alias("shingles"), _sizes(s, grid).alias("sizes"))
+                         for w, s in zip(ws, [F.get("_lists", i * len(ws) + j) for j in range(len(ws))])])
+    both = lists.select(page, "version", sized(0).alias("_base"), sized(1).alias("_cur"))
     cells = F.flatten(F.zip_with("_base", "_cur", lambda b, c: _cells(b, c, grid)))
-    return _finish(pairs.select(page, "version", F.inline(cells)), page)
+    return _finish(both.select(page, "version", F.inline(cells)), page)
 
 
 def skipped_pages(catalog: DataFrame, step: int = STEP, max_back: int = MAX_BACK,
