@@ -69,8 +69,9 @@ def version_masks(versions: DataFrame, ws: Iterable[int], step: int = STEP, max_
     parts = cut.select(page, "_bit", "_c", F.slice("_e", F.col("_c") * b + 1, b + most - 1).alias("_part"))
     dealt = parts.repartition(work_partitions(versions.sparkSession), page, "_c")
     sized = dealt.select(page, "_bit", "_part", F.explode(F.array(*[F.lit(w) for w in widths])).alias("w"))
-    own = F.slice("_part", 1, F.lit(b - 1) + F.col("w"))
-    rows = sized.select(page, "w", "_bit", F.explode_outer(shingle_hashes(own, F.col("w"))).alias("_d"))
+    # each w by itself: windows of a known size are joined from few parts
+    own = F.coalesce(*[F.when(F.col("w") == w, shingle_hashes(F.slice("_part", 1, b - 1 + w), w)) for w in widths])
+    rows = sized.select(page, "w", "_bit", F.explode_outer(own).alias("_d"))
     return rows.groupBy(page, "w", F.unhex("_d").alias("digest")).agg(F.bit_or("_bit").alias("mask"))
 
 
