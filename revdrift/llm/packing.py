@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocks import encode_texts, library_coder
-from .common import written
+from .common import forget, written
 
 PIECES = "part int, row long, doc_id long, piece int, start long, length int, rank long, ids_crc32 long, ids array<int>"
 
@@ -155,6 +155,7 @@ def _cutter(tokenizer: str, capacity: int, end_id: int, special_as_text: bool):
         import pyarrow as pa
         from pyspark import TaskContext
 
+        forget(("library", tokenizer, special_as_text))  # the worker may be one of an earlier stage
         part, row, seen = TaskContext.get().partitionId(), 0, np.zeros(capacity + 1, np.int64)
         for b in batches:
             for at, ids, offsets in encode_texts(b.column(1), library_coder(tokenizer, special_as_text)):

@@ -160,3 +160,17 @@ def test_plans_hold_all_pieces_and_few_sequences():
         assert held == counts
         greedy = sum(k for _, k in best_fit(dict(counts), [], capacity))
         assert sum(k for _, k in plan) <= 1.005 * greedy + 2
+
+
+def test_packing_drops_what_earlier_stages_left_in_a_worker(monkeypatch):
+    from pyspark import TaskContext
+    from revdrift.llm.common import per_worker
+    from revdrift.llm.packing import _cutter
+
+    class First:
+        def partitionId(self):
+            return 0
+    monkeypatch.setattr(TaskContext, "get", classmethod(lambda cls: First()))
+    old = per_worker("of an earlier stage", list)
+    assert list(_cutter("a path", 1024, 2, False)([])) == []
+    assert per_worker("of an earlier stage", list) is not old
