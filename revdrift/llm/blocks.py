@@ -4,7 +4,9 @@ A byte-level BPE tokenizer splits text by a pattern before it merges, and no
 match of that pattern runs from a non-white character into the space behind
 it.  So a text's ids are those of its blocks, cut before each space that
 follows a non-white character.  A coder gets a batch's distinct blocks once,
-and the ids of the texts are gathered from them.  Texts in which a space
+and the ids of the texts are gathered from them.  Nor does a match run from a
+letter or digit into the marks behind it, so the library gets the stem that
+blocks with other marks at their ends share once.  Texts in which a space
 follows other white space go to the coder whole, as do those that hold the
 string of one of the tokenizer's added tokens.
 """
@@ -12,6 +14,8 @@ string of one of the tokenizer's added tokens.
 from __future__ import annotations
 
 import os
+import re
+import string
 
 from .common import per_worker
 
@@ -24,7 +28,11 @@ JOINED = 500
 #: Blocks whose ids a worker keeps, about.
 KEPT_BLOCKS = 400_000
 #: White space as any of the engines sees it, at the end (RE2 syntax).
-WHITE_END = r"[\s\p{Z}\x{85}\x{1c}-\x{1f}]$"
+WHITE_END = r"[\s\x{b}\p{Z}\x{85}\x{1c}-\x{1f}]$"
+#: Marks that end a block; an apostrophe may belong to letters.
+MARKS = re.escape("".join(c for c in string.punctuation if c != "'"))
+#: A block that a match of the pattern ends in, before its last marks.
+MARKED = f"(?s)^(?P<stem>.*[A-Za-z0-9])(?P<marks>[{MARKS}]+)$"
 #: Texts that the library gets in one call.
 TOGETHER = 8
 
@@ -43,6 +51,9 @@ class LibraryCoder:
         #: Strings that are ids of their own wherever they stand.
         self.added = [] if special_as_text else [t.content for t in self.tok.get_added_tokens_decoder().values()]
         vocab = self.tok.get_vocab(with_added_tokens=True)
+        apart = {t.content for t in self.tok.get_added_tokens_decoder().values()}
+        #: Whether no token joins a letter or digit to a mark.
+        self.cuts_marks = not any(re.search(f"[A-Za-z0-9][{MARKS}]", t) for t in vocab if t not in apart)
         self.opens = np.zeros(max(vocab.values()) + 1, dtype=bool)  # ids whose text begins with a space
         for token, i in vocab.items():
             self.opens[i] = token.startswith("\u0120")
@@ -54,24 +65,29 @@ class LibraryCoder:
         return [np.array(e.ids, dtype=np.uint32) for at in range(0, len(texts), TOGETHER)  # what the library returns is large
                 for e in self.tok.encode_batch_fast(texts[at:at + TOGETHER], add_special_tokens=False)]
 
-    def behind_space(self, blocks: list[str]):
-        """(ids, lengths) of blocks that each follow a space.  Those that end
-        in no white space are joined: only their first tokens begin with a space."""
+    def behind_space(self, blocks):
+        """(ids, lengths) of an Arrow array of blocks that each follow a space.  Those that
+        end in no white space are joined: only their first tokens begin with a space."""
         import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
-        loose = [b[-1:].isspace() or not b for b in blocks]
-        tight = [b for b, x in zip(blocks, loose) if not x]
-        joined = self.whole([" " + " ".join(tight[i:i + JOINED]) for i in range(0, len(tight), JOINED)])
+        loose = pc.or_(pc.equal(blocks, ""), pc.match_substring_regex(blocks, WHITE_END))
+        tight = blocks.filter(pc.invert(loose))
+        cuts = np.append(np.arange(0, len(tight), JOINED), len(tight))
+        lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), tight)
+        joined = self.whole([" " + x for x in pc.binary_join(lists, pa.scalar(" ", tight.type)).to_pylist()])
         ids = np.concatenate([np.empty(0, np.uint32), *joined])
         lengths = np.diff(np.append(np.flatnonzero(self.opens[ids]), len(ids)))
         if len(lengths) != len(tight):
             raise ValueError("the tokenizer merges across spaces; it is not a byte-level BPE of this kind")
         if len(tight) == len(blocks):
             return ids, lengths
-        apart = iter(self.whole([" " + b for b, x in zip(blocks, loose) if x]))
-        of = iter(np.split(ids, np.cumsum(lengths)[:-1]))
-        parts = [next(apart) if x else next(of) for x in loose]
-        return np.concatenate(parts), np.array([len(p) for p in parts], dtype=np.int64)
+        apart = self.whole([" " + b for b in blocks.filter(loose).to_pylist()])
+        ids = np.concatenate([ids, *apart])
+        lengths = np.concatenate([lengths, np.array([len(p) for p in apart], dtype=np.int64)])
+        which = np.argsort(np.argsort(loose.to_numpy(zero_copy_only=False), kind="stable"), kind="stable")
+        return gather(ids, lengths, which), lengths[which]
 
 
 def library_coder(path: str, special_as_text: bool = False) -> LibraryCoder:
@@ -99,7 +115,7 @@ class Known:
         new = blocks.filter(place.is_null())
         place = place.fill_null(-1).to_numpy().astype(np.int64)
         place[place < 0] = len(self.blocks) + np.arange(len(new))
-        ids, lengths = coder.behind_space(new.to_pylist())
+        ids, lengths = coder.behind_space(new)
         self.blocks = pa.concat_arrays([self.blocks, new])
         self.ids, self.lengths = np.concatenate([self.ids, ids]), np.concatenate([self.lengths, lengths])
         if len(self.blocks) > KEPT_BLOCKS:
@@ -122,6 +138,30 @@ def gather(ids, lengths, which):
     return ids[at]
 
 
+def behind_space(blocks, coder):
+    """(ids, lengths) of distinct blocks that each follow a space."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    known = coder.known
+    marked = pc.match_substring_regex(blocks, f"[A-Za-z0-9][{MARKS}]+$") if coder.cuts_marks else pa.array(np.zeros(len(blocks), bool))
+    parts = pc.extract_regex(blocks.filter(marked), MARKED)
+    if not len(parts):
+        place = known.places(blocks, coder)
+        return known.gathered(place), known.lengths[place]
+    stems = pc.replace_with_mask(blocks, marked, parts.field("stem")).dictionary_encode()
+    marks = parts.field("marks").dictionary_encode()
+    behind = coder.whole(marks.dictionary.to_pylist())
+    place = np.zeros((len(blocks), 2), dtype=np.int64)  # of the stem, of the marks (the first: none)
+    place[:, 0] = known.places(stems.dictionary, coder)[stems.indices.to_numpy()]
+    place[marked.to_numpy(zero_copy_only=False), 1] = 1 + marks.indices.to_numpy()
+    place[:, 1] += len(known.lengths)
+    ids = np.concatenate([known.ids, *behind])
+    lengths = np.concatenate([known.lengths, np.array([0, *map(len, behind)], dtype=np.int64)])
+    return gather(ids, lengths, place.ravel()), lengths[place].sum(axis=1)
+
+
 def _encode(texts, coder):
     """Runs of rows of an Arrow array of texts without nulls, as (ids, offsets)."""
     import numpy as np
@@ -156,13 +196,14 @@ def _encode(texts, coder):
 
     used = np.zeros(len(words), dtype=bool)  # behind a space
     used[which[~first]] = True
-    known, place = coder.known, np.zeros(len(words), dtype=np.int64)
-    place[used] = known.places(words.filter(pa.array(used)), coder)
+    ids, n = behind_space(words.filter(pa.array(used)), coder)
     heads = coder.whole(flat.filter(pa.array(first)).to_pylist())
-    which = place[which]
-    which[first] = len(known.lengths) + np.arange(len(heads))
-    lengths = np.concatenate([known.lengths, np.array([len(h) for h in heads], dtype=np.int64)])
-    ids = np.concatenate([known.ids, *heads])
+    which = which.astype(np.int64)
+    which[first] = len(words) + np.arange(len(heads))
+    lengths = np.zeros(len(words) + len(heads), dtype=np.int64)
+    lengths[:len(words)][used] = n
+    lengths[len(words):] = [len(h) for h in heads]
+    ids = np.concatenate([ids, *heads])
     ends = np.concatenate([[0], np.cumsum(lengths[which])])[at]  # of rows
     row = 0
     while row < len(texts):

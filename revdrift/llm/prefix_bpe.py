@@ -154,6 +154,7 @@ class _Coder:
 
         self.bpe, self.find = bpe, regex.compile(pattern).findall
         self.known, self.added = Known(), []
+        self.cuts_marks = False  # done by _pieces
         self.young: dict[bytes, list[int]] = {}
         self.old: dict[bytes, list[int]] = {}
 
@@ -205,10 +206,10 @@ class _Coder:
             self._forget()
         return out
 
-    def behind_space(self, blocks: list[str]):
+    def behind_space(self, blocks):
         import numpy as np
 
-        of = list(map(self._pieces, blocks))
+        of = list(map(self._pieces, blocks.to_pylist()))
         self._learn(set(chain.from_iterable(of)))
         ids = [self.young[ps[0]] if len(ps) == 1 else [i for p in ps for i in self.young[p]] for ps in of]
         self._forget()

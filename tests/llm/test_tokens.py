@@ -6,12 +6,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import tiktoken
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from revdrift.llm import queries as Q
+from revdrift.llm.blocks import LibraryCoder, encode_texts
 from revdrift.llm.packing import best_fit, pack, plan_sequences
 from revdrift.llm.prefix_bpe import Prefixes, decode, encode, load
 from revdrift.llm.token_files import read_tokens, with_crc32, write_tokens
@@ -174,3 +176,40 @@ def test_packing_drops_what_earlier_stages_left_in_a_worker(monkeypatch):
     old = per_worker("of an earlier stage", list)
     assert list(_cutter("a path", 1024, 2, False)([])) == []
     assert per_worker("of an earlier stage", list) is not old
+
+
+def coded(texts, coder):
+    return [ids[i:j].tolist() for _, ids, at in encode_texts(pa.array(texts, pa.string()), coder) for i, j in zip(at[:-1], at[1:])]
+
+
+def test_the_library_gets_a_stem_once_whatever_marks_follow_it(library):
+    coder, got = LibraryCoder(JSON, False), []
+    whole = coder.whole
+    coder.whole = lambda texts: got.extend(texts) or whole(texts)
+    stems = [f"stemof{i}" for i in range(300)]
+    texts = ["a " + " ".join(s + marks for s in stems) for marks in ("", ".", ",", "!?", "$$$", ").", ".")]
+    assert coded(texts, coder) == [library(t) for t in texts]
+    assert sum(map(len, got)) < 2 * len(" ".join(stems))
+
+
+def test_ids_of_blocks_with_marks_and_white_space_are_the_librarys(library):
+    coder, rng = LibraryCoder(JSON, False), random.Random(8)
+    parts = ["word", "Other", "7", "42", "caf\u00e9", "e\u0301", "\u65e5\u672c", "\u0661", "\U0001f600", "\u2026", "'", "'s", "'re", "\u2019", "_", "-",
+             ".", ",", "!?", "$$$", ").", "<|endoftext|>", "<|", " ", " ", " ", " ", "  ", "\n", ".\n", "\t", "\x0b", "\x1f", "\x85", "\xa0", "\u3000", "\x00"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(3000)] + ["a\x0b \x0bb", "end. ", "end.\n", " .", None, ""]
+    want = [library(t) for t in texts]
+    assert coded(texts, coder) == want
+    assert coded(texts, coder) == want  # by what is known
+    assert [i for t in texts for i in coded([t], coder)] == want
+
+
+def test_marks_that_a_vocabulary_joins_to_letters_stay_with_them(tmp_path):
+    vocab = {c: i for i, c in enumerate(sorted(pre_tokenizers.ByteLevel.alphabet()))}
+    merges = [("a", "."), ("\u0120", "a"), ("a.", ".")]
+    for x, y in merges:
+        vocab.setdefault(x + y, len(vocab))
+    t = Tokenizer(models.BPE(vocab=vocab, merges=merges))
+    t.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    t.save(str(tmp_path / "t.json"))
+    texts = ["b a. a.. xa.", "a a b", "a, a. a"]
+    assert coded(texts, LibraryCoder(str(tmp_path / "t.json"), False)) == [t.encode(x).ids for x in texts]
