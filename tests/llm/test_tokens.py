@@ -213,3 +213,23 @@ def test_marks_that_a_vocabulary_joins_to_letters_stay_with_them(tmp_path):
     t.save(str(tmp_path / "t.json"))
     texts = ["b a. a.. xa.", "a a b", "a, a. a"]
     assert coded(texts, LibraryCoder(str(tmp_path / "t.json"), False)) == [t.encode(x).ids for x in texts]
+
+
+def test_token_files_and_packing_take_a_stem_to_the_library_once_in_a_task(monkeypatch, library):
+    from pyspark import TaskContext
+    from revdrift.llm import packing, token_files
+
+    class First:
+        def partitionId(self):
+            return 0
+    monkeypatch.setattr(TaskContext, "get", classmethod(lambda cls: First()))
+    stems = [f"{i}taskof" for i in range(300)]
+    texts = ["a " + " ".join(s + marks for s in stems) for marks in (",", ".", "", ";", "...", '."')]
+    batches = [pa.RecordBatch.from_arrays([pa.array([i]), pa.array([t])], names=["doc_id", "text"]) for i, t in enumerate(texts)]
+    for run, module in ((token_files._encoder(JSON, 0, False), token_files), (packing._cutter(JSON, 1 << 20, 0, False), packing)):
+        coder, got = LibraryCoder(JSON, False), []
+        whole = coder.whole
+        coder.whole = lambda texts: got.extend(texts) or whole(texts)
+        monkeypatch.setattr(module, "library_coder", lambda *_: coder)
+        assert [ids for b in run(iter(batches)) for ids in b.column("ids").to_pylist()] == [library(t) + [0] for t in texts]
+        assert sum(map(len, got)) < 2 * len(" ".join(stems))
