@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructType
 
 from . import ftrl
-from .common import bounded_batches, crc32_of_id
+from .common import bounded_batches, crc32_of_id, forget
 
 #: Rows with a label that a model is fitted on, at most.
 MOST_ROWS = 12_000
@@ -74,6 +74,7 @@ class Classifier:
         def trained(batches):
             import pyarrow as pa
 
+            forget()
             x, y = [], []
             for b in batches:
                 lists = b.column(2)

@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import partitions, scratch_folder, stored, written
+from .common import forget, partitions, scratch_folder, stored, written
 
 #: Bytes of text that a map task holds while it collapses equal texts.
 COMBINE_BYTES = 32 << 20
@@ -113,6 +113,7 @@ def _collapse(batches):
              t["doc_id_max"].combine_chunks(), t["doc_id_count"].combine_chunks()],
             names=["key", "text", "keep_id", "group_size"])
 
+    forget()
     held, size = [], 0
     for b in batches:
         held.append(b)

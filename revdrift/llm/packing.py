@@ -195,6 +195,7 @@ def _placer(plan: Plan):
         import numpy as np
         import pyarrow as pa
 
+        forget()  # the pieces are written, no task needs the tokenizer again
         for b in batches:
             length = b.column("length").to_numpy()
             slot = b.column("slot").to_numpy() + np.array([of_length[x] for x in length.tolist()], dtype=np.int64)

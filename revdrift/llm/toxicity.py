@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .classifier import Classifier
-from .common import bounded_batches, per_worker, written
+from .common import bounded_batches, forget, per_worker, written
 from .language import LETTERS, _groups, _ngrams, _tables
 from .wordgrams import SLICE_BYTES, distinct_features, mixed, number, slices
 
@@ -199,6 +199,7 @@ def _counts(batches):
     import numpy as np
     import pyarrow as pa
 
+    forget("language")  # the worker may be one of an earlier stage
     total = np.zeros(LETTERS ** 3, dtype=np.int64)
     for _, texts in _groups(batches, 2):
         _, code = _ngrams(texts)
@@ -213,6 +214,7 @@ def _words(batches):
     import pyarrow as pa
     import pyarrow.compute as pc
 
+    forget()
     for b in batches:
         texts = b.column(1)
         size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -290,6 +292,7 @@ def features_of(held, key):
     def features(texts):
         import numpy as np
 
+        forget(("restorer", key))
         r = per_worker(("restorer", key), lambda: Restorer(held.value))
 
         def make(w):

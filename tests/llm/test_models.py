@@ -213,3 +213,39 @@ def test_words_of_many_signs_have_the_cheapest_path():
     costs[:, :, 0] = 10_000
     costs[end][0] = 0
     assert toxicity.Restorer(costs.tobytes()).decoded(raw) == best[end][1]
+
+
+def _toxic_features(texts):
+    from types import SimpleNamespace
+    from revdrift.llm.language import LETTERS
+    from revdrift.llm.toxicity import features_of
+
+    return list(features_of(SimpleNamespace(value=bytes(4 * LETTERS ** 3)), "a test's costs")(texts))
+
+
+def _stages():
+    from revdrift.llm.exact_dedup import _collapse
+    from revdrift.llm.packing import _placer
+    from revdrift.llm.toxicity import _counts, _words
+
+    return {"counts": lambda: list(_counts([])), "words": lambda: list(_words([])), "features": lambda: _toxic_features(pa.array(["a word"])),
+            "collapse": lambda: list(_collapse([])), "placer": lambda: list(_placer([({3: 1}, 1)])([]))}
+
+
+@pytest.mark.parametrize("stage", sorted(_stages()))
+def test_a_stage_drops_what_earlier_stages_left_in_a_worker(stage):
+    from revdrift.llm.common import forget, per_worker
+
+    forget()
+    old = per_worker("of an earlier stage", list)
+    _stages()[stage]()
+    assert per_worker("of an earlier stage", list) is not old
+
+
+def test_toxicity_keeps_its_restorer_from_batch_to_batch():
+    from revdrift.llm.common import per_worker
+
+    _toxic_features(pa.array(["a word"]))
+    kept = per_worker(("restorer", "a test's costs"), lambda: None)
+    _toxic_features(pa.array(["an other word"]))
+    assert kept is not None and per_worker(("restorer", "a test's costs"), lambda: None) is kept
