@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import forget, partitions, scratch_folder, stored, written
+from .common import forget, partitions, scratch_folder, stored, then_forget, written
 
 #: Bytes of text that a map task holds while it collapses equal texts.
 COMBINE_BYTES = 32 << 20
@@ -150,7 +150,7 @@ def _distinct_texts(keyed: DataFrame, census: DataFrame) -> DataFrame:
     total = census.agg(F.sum("rows")).first()[0] or 0
     hot = F.broadcast(census.filter((F.col("rows") > 1) & (F.col("rows") * HOT_ONE_IN >= total)).select("key"))
     rare = keyed.join(hot, "key", "left_anti").select("doc_id", "key", "text").mapInArrow(
-        _collapse, "key long, text string, keep_id long, group_size long")
+        then_forget(_collapse), "key long, text string, keep_id long, group_size long")
     common = keyed.join(hot, "key", "left_semi").select(
         "key", "text", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("salt"))

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, forget, per_worker, written
+from .common import bounded_batches, forget, per_worker, then_forget, written
 from .components import components
 from .wordgrams import slices
 
@@ -229,7 +229,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     empty table gives no rows.
     """
     rows = bounded_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
-    signed = written(rows.mapInArrow(_signed, "doc_id long, words binary, n_shingles long, bands array<long>"), "signatures")
+    signed = written(rows.mapInArrow(then_forget(_signed, "ranks"), "doc_id long, words binary, n_shingles long, bands array<long>"), "signatures")
     known = signed.filter("doc_id IS NOT NULL AND words IS NOT NULL")
     classes = written(known.groupBy("words").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies")), "classes")
     bands = (known.join(classes.select("words", F.col("node").alias("doc_id")), ["words", "doc_id"])
@@ -240,7 +240,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     pairs = members.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     needed = members.select("node").unionByName(members.select(F.col("hub").alias("node"))).distinct()
     texts = rows.withColumnRenamed("doc_id", "node").join(needed, "node")
-    sets = written(texts.mapInArrow(_sets, "node long, n long, shingles array<long>"), "shingle-sets")
+    sets = written(texts.mapInArrow(then_forget(_sets), "node long, n long, shingles array<long>"), "shingle-sets")
     star = components(_similar(pairs, sets, percent))
 
     # members that a bucket still holds in several components

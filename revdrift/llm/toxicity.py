@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .classifier import Classifier
-from .common import bounded_batches, forget, per_worker, written
+from .common import bounded_batches, forget, per_worker, then_forget, written
 from .language import LETTERS, _groups, _ngrams, _tables
 from .wordgrams import SLICE_BYTES, distinct_features, mixed, number, slices
 
@@ -235,7 +235,7 @@ def common_words(rows: DataFrame, share: float = COMMON) -> list[tuple[str, int]
 
     All words of all rows are counted and written; only those of the share, which
     cannot be more than 1 / share, reach the driver."""
-    counts = written(rows.mapInArrow(_words, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")), "words")
+    counts = written(rows.mapInArrow(then_forget(_words), "w string, n long").groupBy("w").agg(F.sum("n").alias("n")), "words")
     total = counts.agg(F.sum("n")).first()[0] or 0
     return sorted(((r.w, r.n) for r in counts.filter(F.col("n") >= share * total).collect()), key=lambda x: (-x[1], x[0]))
 

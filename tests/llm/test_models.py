@@ -249,3 +249,17 @@ def test_toxicity_keeps_its_restorer_from_batch_to_batch():
     kept = per_worker(("restorer", "a test's costs"), lambda: None)
     _toxic_features(pa.array(["an other word"]))
     assert kept is not None and per_worker(("restorer", "a test's costs"), lambda: None) is kept
+
+
+def test_a_small_worker_is_left_behind_when_the_batches_end():
+    from revdrift.llm.common import forget, per_worker, then_forget
+
+    def run(batches):
+        for b in batches:
+            held = [per_worker("dropped", list), per_worker("kept", list)]
+            yield b, held
+
+    forget()
+    (one, held), (two, same) = then_forget(run, "kept")([1, 2])
+    assert (one, two) == (1, 2) and held[0] is same[0] and held[1] is same[1]
+    assert per_worker("kept", list) is held[1] and per_worker("dropped", list) is not held[0]
