@@ -7,8 +7,11 @@ then sums over masks.  No row holds a list of digests, so a document of millions
 of tokens needs no more memory than a chunk of it, and no digest is joined.
 
 The versions of a page differ little, so chunks are dealt by (page, number of
-the chunk) first: the versions of a chunk meet in one task, whose partial
-aggregation leaves about one row for each digest however many versions hold it.
+the chunk) first and the versions of a chunk meet in one task.  Windows that lie
+in the tokens that a version shares with the first one there, at the start or at
+the end of the chunk, are hashed once, with the bits of all versions that hold
+them; of the other versions only the windows between are.  Partial aggregation
+then leaves about one row for each digest however many versions hold it.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.similarity import jaccard_from_sizes
-from ..functions.text import encode_tokens, shingle_hashes, tokenize
+from ..functions.text import encode_tokens, let, shingle_hashes, tokenize
 from ..session import work_partitions
 from .compare import MAX_BACK, STEP, bit, has_bit, is_target, needed_versions
 from .shingle import check_windows
@@ -62,19 +65,82 @@ def version_masks(versions: DataFrame, ws: Iterable[int], step: int = STEP, max_
         needed = one_text_a_version(needed, page, text_col)
     widths = check_windows(ws)
     most = max(widths)
-    encoded = needed.select(page, version_bit("version", step, max_back).alias("_bit"), encode_tokens(tokenize(text_col)).alias("_e"))
+    cut = needed.select(page, version_bit("version", step, max_back).alias("_own"), tokenize(text_col).alias("_t"))
     # a chunk holds the window starts of its tokens for every w, so it has most - 1 tokens behind it
-    last = F.greatest(F.floor((F.size("_e") - min(widths)) / b), F.lit(0)).cast("int")
-    cut = encoded.select(page, "_bit", "_e", F.explode(F.sequence(F.lit(0), last)).alias("_c"))
-    parts = cut.select(page, "_bit", "_c", F.slice("_e", F.col("_c") * b + 1, b + most - 1).alias("_part"))
+    last = F.greatest(F.floor((F.size("_t") - min(widths)) / b), F.lit(0)).cast("int")
+    cut = cut.select(page, "_own", "_t", F.explode(F.sequence(F.lit(0), last)).alias("_c"))
+    parts = cut.select(page, "_own", "_c", F.slice("_t", F.col("_c") * b + 1, b + most - 1).alias("_part"))
     dealt = parts.repartition(work_partitions(versions.sparkSession), page, "_c")
-    sized = dealt.select(page, "_bit", "_part", F.explode(F.array(*[F.lit(w) for w in widths])).alias("w"))
+    sized = _with_stretches(dealt, widths, b, page)
     # each w by itself: windows of a known size are joined from few parts
-    own = F.coalesce(*[F.when(F.col("w") == w, shingle_hashes(F.slice("_part", 1, b - 1 + w), w)) for w in widths])
+    own = F.coalesce(*[F.when(F.col("w") == w, shingle_hashes(F.slice("_e", F.col("_from") + 1, F.col("_to") - F.col("_from") + (w - 1)), w))
+                       for w in widths])
     rows = sized.select(page, "w", "_bit", F.explode_outer(own).alias("_d"))
     return rows.groupBy(page, "w", F.unhex("_d").alias("digest")).agg(F.bit_or("_bit").alias("mask"))
 
 
+def _same_start(a: Column, b: Column) -> Column:
+    """How many leading tokens two lists share."""
+    same = F.zip_with(a, b, lambda x, y: x.eqNullSafe(y))
+    return (F.array_position(F.concat(same, F.array(F.lit(False))), F.lit(False)) - 1).cast("int")
+
+
+def _with_stretches(parts: DataFrame, widths: Sequence[int], b: int, page: str) -> DataFrame:
+    """[page, w, _e, _from, _to, _bit]: the window starts of the encoded tokens ``_e`` that are
+    to be hashed, and the versions that hold these windows.
+
+    The first version of a chunk has all its windows, in stretches that the same
+    versions share; another one has those that are not in the first.  A version
+    without windows has an empty stretch."""
+    most, along = max(widths), Window.partitionBy(page, "_c")
+    first = parts.withColumns({"_ref": F.first("_part").over(along.orderBy("_own")), "_is_ref": F.row_number().over(along.orderBy("_own")) == 1})
+    shared = first.select(
+        page, "_c", "_own", "_is_ref", "_part", F.size("_part").alias("_n"), F.size("_ref").alias("_m"),
+        F.when(F.col("_is_ref"), F.size("_part")).otherwise(_same_start(F.col("_ref"), F.col("_part"))).alias("_head"),
+        F.when(F.col("_is_ref"), F.size("_part")).otherwise(_same_start(F.reverse("_ref"), F.reverse("_part"))).alias("_tail"))
+    # the first one's windows behind the chunk's last start are the next chunk's: longer ends are kept whole
+    whole = (F.col("_m") > F.col("_n")) & (F.col("_m") >= b + min(widths))
+    at = F.when(F.col("_is_ref"), 0).otherwise(F.greatest(F.col("_head") - (most - 1), F.lit(0)))
+    end = F.when(F.col("_is_ref") | whole, F.col("_n")).otherwise(F.col("_n") - F.col("_tail") + (most - 1))
+    kept = shared.withColumn("_at", at).select(
+        page, "_c", "_own", "_is_ref", "_n", "_m", "_head", "_tail", "_at", F.slice("_part", F.col("_at") + 1, F.greatest(end - F.col("_at"), F.lit(0))).alias("_part"))
+    # a set: repeated rows of a version count once
+    others = F.collect_set(F.struct("_own", "_head", "_tail")).over(along)
+    kept = kept.withColumn("_others", F.when(F.col("_is_ref"), others))
+
+    def clamped(place: Column, w: int) -> Column:
+        return F.greatest(F.least(place, _starts(w)), F.lit(0))
+
+    def _starts(w: int) -> Column:
+        return F.least(F.col("_n") - (w - 1), F.lit(b))
+
+    def stretch(w: int, start: Column, stop: Column, mask: Column) -> Column:
+        return F.struct(F.lit(w).alias("w"), (start - F.col("_at")).alias("_from"), (stop - F.col("_at")).alias("_to"), mask.alias("_bit"))
+
+    def of_first(w: int) -> Column:
+        def ends(o: Column) -> Column:
+            return F.array(clamped(o["_head"] - (w - 1), w), clamped(F.col("_m") - o["_tail"], w))
+        edges = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0), _starts(w)), F.flatten(F.transform("_others", ends)))))
+
+        def held(start: Column) -> Column:
+            return F.aggregate("_others", F.lit(0).cast("long"), lambda mask, o: F.when(
+                (start <= o["_head"] - w) | (start >= F.col("_m") - o["_tail"]), mask.bitwiseOR(o["_own"])).otherwise(mask))
+        return let(edges, lambda e: F.transform(F.slice(e, 1, F.size(e) - 1), lambda start, i: stretch(
+            w, start, F.get(e, i + 1), held(start).bitwiseOR(F.col("_own")))))
+
+    def of_other(w: int) -> Column:
+        start, stop = clamped(F.col("_head") - (w - 1), w), clamped(F.col("_n") - F.col("_tail"), w)
+        late = F.greatest(start, stop, F.lit(b) - F.col("_m") + F.col("_n"))
+        return F.filter(F.array(stretch(w, start, stop, F.col("_own")), stretch(w, late, _starts(w), F.col("_own"))),
+                        lambda s: s["_to"] > s["_from"])
+
+    def of(w: int) -> Column:
+        nothing = F.array(stretch(w, F.col("_at"), F.col("_at"), F.col("_own")))
+        return F.when(_starts(w) <= 0, nothing).when(F.col("_is_ref"), of_first(w)).otherwise(of_other(w))
+    # encoded below the generator, once for all stretches
+    return kept.withColumn("_e", encode_tokens("_part")).select(page, "_e", F.inline(F.concat(*[of(w) for w in widths])))
+
+
 def _counted(masks: DataFrame, page: str) -> DataFrame:
     """[page, w, mask, n]: digests of each set of versions (few sets a page)."""
     return masks.groupBy(page, "w", "mask").agg(F.count("digest").alias("n"))
