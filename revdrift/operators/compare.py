@@ -21,12 +21,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.digests import digest_lists
 from ..functions.labels import lambda_k
+from ..functions.pairs import shared_sizes
 from ..functions.similarity import intersection_size, jaccard_from_sizes, union_size
-from ..functions.text import sketch as _sketch, tokenize
+from ..functions.text import sketch as _sketch
 from ..session import work_partitions
-from .shingle import check_windows, lambda_grid_column
+from .shingle import check_windows, lambda_grid_column, parse_lambdas
 
 STEP = 3
 MAX_BACK = 147
@@ -106,7 +106,8 @@ def compare_texts(versions: DataFrame, ws: Sequence[int], lambdas: Sequence, ste
     Only baseline and target versions are read (the filter reaches the scan or
     the version generator).  The *texts* are dealt by page once and sorted --
     cheaper than moving shingle arrays, which are several times the size of
-    their text -- and all window sizes stay in the row of their text.
+    their text -- and only the set sizes of each (w, lambda) come back from the
+    UDF that hashes them.
     ``prepartitioned=True`` skips the repartition when the caller already
     hash-partitioned the versions by page (Spark still adds an exchange if the
     plan cannot prove it).
@@ -116,19 +117,16 @@ def compare_texts(versions: DataFrame, ws: Sequence[int], lambdas: Sequence, ste
     if not prepartitioned:
         needed = needed.repartition(partitions or work_partitions(versions.sparkSession), F.col(page))
     needed = needed.sortWithinPartitions(page, "version", "_tie")
-    # the window carries tokens; digests, several times their size, come behind it and are never shuffled
-    texts = needed.select(page, "version", "_tie", tokenize(text_col).alias("_tokens"))
-    pairs = _with_baseline(texts, "_tokens", [page], step, max_back)
-    ws, grid = check_windows(ws), lambda_grid_column(lambdas)
-    lists = pairs.select(page, "version", digest_lists("_base", "_tokens", ws=ws).alias("_lists"))
-
-    def sized(i: int) -> Column:
-        """[w, shingles, sizes] of the i-th of the two texts, for each w."""
-        return F.array(*[F.struct(F.lit(w).alias("w"), s.alias("shingles"), _sizes(s, grid).alias("sizes"))
-                         for w, s in zip(ws, [F.get("_lists", i * len(ws) + j) for j in range(len(ws))])])
-    both = lists.select(page, "version", sized(0).alias("_base"), sized(1).alias("_cur"))
-    cells = F.flatten(F.zip_with("_base", "_cur", lambda b, c: _cells(b, c, grid)))
-    return _finish(both.select(page, "version", F.inline(cells)), page)
+    # the window carries texts; digests, many times their size, come behind it and never leave the worker
+    texts = needed.select(page, "version", "_tie", F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("_text"))
+    pairs = _with_baseline(texts, "_text", [page], step, max_back)
+    ws, lams = check_windows(ws), parse_lambdas(lambdas)
+    sizes = pairs.select(page, "version", shared_sizes("_base", "_text", ws=ws, ks=[k for _, k in lams]).alias("_sizes"))
+    grid = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(label).alias("lambda"), F.lit(k).alias("k")) for w in ws for label, k in lams])
+    cells = F.transform(grid, lambda g, i: F.struct(
+        g["w"].alias("w"), g["lambda"].alias("lambda"), g["k"].alias("k"),
+        F.get("_sizes", 2 * i).alias("intersection"), F.get("_sizes", 2 * i + 1).alias("union_size")))
+    return _finish(sizes.select(page, "version", F.inline(cells)), page)
 
 
 def skipped_pages(catalog: DataFrame, step: int = STEP, max_back: int = MAX_BACK,
