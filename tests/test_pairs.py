@@ -85,3 +85,19 @@ def test_rows_of_a_page_without_text(spark):
     got = {(r.page, r.version, r["lambda"]): (r.intersection, r.union_size, r.jaccard) for r in sim.collect()}
     assert got == {("p", 3, "1"): (0, 0, 1.0), ("p", 3, "inf"): (0, 0, 1.0), ("p", 6, "1"): (0, 1, 0.0), ("p", 6, "inf"): (0, 1, 0.0),
                    ("q", 3, "1"): (0, 1, 0.0), ("q", 3, "inf"): (0, 2, 0.0), ("q", 6, "1"): (1, 1, 1.0), ("q", 6, "inf"): (2, 2, 1.0)}
+
+
+@pytest.mark.parametrize("least,slice_bytes", [(None, 1 << 20), (3, 1), (None, 200)])
+def test_lists_of_texts_equal_hashlib(spark, monkeypatch, least, slice_bytes):
+    monkeypatch.setattr(pairs, "SLICE_BYTES", slice_bytes)
+    texts = [t for pair in some_rows(random.Random(7)) for t in pair]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(2)
+    got = df.select("i", pairs.text_lists("t", WS, least).alias("s")).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        want = [[d.hex() for d in digests_of(texts[r.i].split(), w)][:least] for w in WS]
+        assert r.s.lists == want and r.s.n_tokens == len(texts[r.i].split())
+        assert r.s.repeats == [[k + 1 for k in range(1, len(x)) if x[k] == x[k - 1]] for x in want]
+    assert df.filter("i < 0").select(pairs.text_lists("t", WS)).collect() == []
+    plan = Q.q_sketch_sizes(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") == 1  # the chain's own: no version is split in the JVM
