@@ -69,8 +69,9 @@ def version_masks(versions: DataFrame, ws: Iterable[int], step: int = STEP, max_
     # a chunk holds the window starts of its tokens for every w, so it has most - 1 tokens behind it
     last = F.greatest(F.floor((F.size("_t") - min(widths)) / b), F.lit(0)).cast("int")
     cut = cut.select(page, "_own", "_t", F.explode(F.sequence(F.lit(0), last)).alias("_c"))
-    parts = cut.select(page, "_own", "_c", F.slice("_t", F.col("_c") * b + 1, b + most - 1).alias("_part"))
-    dealt = parts.repartition(work_partitions(versions.sparkSession), page, "_c")
+    # dealt as text, which is shorter than a list; no token has a space
+    parts = cut.select(page, "_own", "_c", F.concat_ws(" ", F.slice("_t", F.col("_c") * b + 1, b + most - 1)).alias("_part"))
+    dealt = parts.repartition(work_partitions(versions.sparkSession), page, "_c").withColumn("_part", F.array_remove(F.split("_part", " "), ""))
     sized = _with_stretches(dealt, widths, b, page)
     # each w by itself: windows of a known size are joined from few parts
     own = F.coalesce(*[F.when(F.col("w") == w, shingle_hashes(F.slice("_e", F.col("_from") + 1, F.col("_to") - F.col("_from") + (w - 1)), w))
